@@ -49,7 +49,7 @@ def target_correlation(df: DataFrame, target: str, exclude: Sequence[str] = ())
     """Correlation of every numeric column with the target, strongest first."""
     cols = numeric_columns(df, [target, *exclude])
     rows = per_column(df.where(F.col(target).isNotNull()),
-                      {c: {"corr": pearson(F.col(c), F.col(target))} for c in cols})
+                      {c: {"corr": pearson(F.col(c), F.col(target))} for c in cols}, chunk=4)
     rows = rows.withColumn("strength", labels.correlation_strength(F.col("corr")))
     return rows.drop("n_total").orderBy(F.abs("corr").desc_nulls_last(), "column")
 
@@ -60,14 +60,15 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, exclude: S
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Moments, median and zeros of each numeric column, with five recommendations."""
     cols = numeric_columns(df, exclude) if cols is None else present(df, cols)
-    stats = {}
+    stats, medians = {}, {}
     for c in cols:
         x = F.col(c).cast("double")
         stats[c] = {
-            "n": F.count(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "median": quantile(x, 0.5, accuracy),
-            "stddev": F.stddev(x), "skew": F.skewness(x), "kurt": F.kurtosis(x), "zeros": tally(x == 0),
+            "n": F.count(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "stddev": F.stddev(x),
+            "skew": F.skewness(x), "kurt": F.kurtosis(x), "zeros": tally(x == 0),
         }
-    rows = per_column(df, stats)
+        medians[c] = {"median": quantile(x, 0.5, accuracy)}
+    rows = per_column(df, stats, medians, chunk=4)
     rows = rows.withColumns({s: finite(F.col(s)) for s in ("min", "max", "mean", "median", "stddev", "skew", "kurt")})
     return rows.withColumns({
         "null_pct": percent(F.col("n_total") - F.col("n"), F.col("n_total")),
@@ -211,19 +212,21 @@ def group_health(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
 
 def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Blank and null counts and the length of the trimmed text of each column."""
-    stats = {}
-    for c in present(df, cols):
-        text = F.trim(F.col(c).cast("string"))
-        size = F.when(~is_blank(F.col(c)), F.length(text))
+    cols = present(df, cols)
+    # Only lengths go on, so that the text itself is trimmed once and then forgotten.
+    sizes = df.select(*[F.length(F.trim(F.col(c).cast("string"))).alias(c) for c in cols])
+    stats, medians = {}, {}
+    for c in cols:
+        size = F.when(F.col(c) > 0, F.col(c))
         stats[c] = {
-            "blanks": tally(is_blank(F.col(c))),
+            "blanks": tally(size.isNull()),
             "nulls": tally(F.col(c).isNull()),
             "min_length": F.coalesce(F.min(size), F.lit(0)),
             "mean_length": F.coalesce(F.avg(size), F.lit(0.0)),
-            "median_length": F.coalesce(quantile(size, 0.5, accuracy), F.lit(0)),
             "max_length": F.coalesce(F.max(size), F.lit(0)),
         }
-    rows = per_column(df, stats)
+        medians[c] = {"median_length": F.coalesce(quantile(size, 0.5, accuracy), F.lit(0))}
+    rows = per_column(sizes, stats, medians, chunk=8)
     low, high, mean = F.col("min_length"), F.col("max_length"), F.col("mean_length")
     return rows.withColumn("blank_pct", percent(F.col("blanks"), F.col("n_total"))).withColumns({
         "imputation": labels.text_imputation(F.col("blank_pct")),
@@ -240,7 +243,7 @@ def mistyped_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         numbered = F.regexp_extract(text, SIGNED_NUMBER, 1) != ""
         stats[c] = {"blanks": tally(text == ""), "with_number": tally(numbered),
                     "without_number": tally((text != "") & ~numbered)}
-    rows = per_column(df, stats)
+    rows = per_column(df, stats, chunk=4)
     rows = rows.withColumns({
         f"{s}_pct": percent(F.col(s), F.col("n_total")) for s in ("blanks", "with_number", "without_number")
     })
