@@ -69,8 +69,17 @@ def has_number(col: Column, pattern: str = UNSIGNED_NUMBER) -> Column:
 
 
 def number_in(col: Column, pattern: str = UNSIGNED_NUMBER) -> Column:
-    """The first match as a double, or null where there is none."""
-    return F.regexp_extract(col, pattern, 1).try_cast("double")
+    """The first match as a double, or null where there is none.
+
+    Empty matches become null before the cast, since a failing cast costs an exception.
+    """
+    return F.nullif(F.regexp_extract(col, pattern, 1), F.lit("")).try_cast("double")
+
+
+def is_zero(col: Column) -> Column:
+    """Zero as a number, for text too; text that cannot be a number is not cast."""
+    text = col.cast("string")
+    return F.when(text.rlike(r"^\s*[-+]?[.0]"), text.try_cast("double")) == 0
 
 
 def valid_rows(df: DataFrame, col: str, positive_only: bool = False) -> DataFrame:

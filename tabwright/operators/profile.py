@@ -29,6 +29,7 @@ from tabwright.functions.predicates import (
     is_blank,
     is_missing,
     is_placeholder,
+    is_zero,
     numeric_columns,
     present,
 )
@@ -189,11 +190,11 @@ def flag_impact(df: DataFrame, flags: Sequence[str], target: str, min_group_size
 def group_health(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
     """Null and zero (or false) share of the columns of each group, and the group's health."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    flags = set(boolean_columns(df))
+    flags, numbers = set(boolean_columns(df)), set(numeric_columns(df))
     member = {c: g for g, cols in groups.items() for c in present(df, cols)}
     rows = per_column(df, {
         c: {"nulls": tally(F.col(c).isNull()),
-            "zeros": tally(~F.col(c) if c in flags else F.col(c).try_cast("double") == 0)}
+            "zeros": tally(~F.col(c) if c in flags else F.col(c) == 0 if c in numbers else is_zero(F.col(c)))}
         for c in member
     })
     names = F.create_map(*[F.lit(v) for c, g in member.items() for v in (c, g)])

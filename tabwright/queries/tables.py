@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabwright.session import tune
+
 # Sketches of this accuracy are exact up to 100,000 values per group and stay below a few
 # megabytes per group beyond that.
 ACCURACY = 200_000
@@ -138,7 +140,7 @@ class Tables:
     """The driver's tables under one folder, and the derived listings."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -56,7 +56,7 @@ def check(spark, con, folder: str, names: list[str]) -> dict[str, list[str]]:
         try:
             result = queries[name](spark, folder).toArrow()
             took = time.time() - start
-            found = differences(result, con.execute(oracles[name]).to_arrow_table()) if name in oracles else []
+            found = differences(result, con.sql(oracles[name]).to_arrow_table()) if name in oracles else []
             note = "" if name in oracles else f" rows only: {result.num_rows}"
         except Exception as error:  # report and go on to the next query
             took, note, found = time.time() - start, "", [f"{type(error).__name__}: {str(error)[:600]}"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tabwright.session import tune
+
 
 def test_session(cores: str = "8") -> SparkSession:
     spark = (
@@ -15,4 +17,4 @@ def test_session(cores: str = "8") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)

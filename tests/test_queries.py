@@ -16,12 +16,12 @@ def duck():
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
     result = entry.queries()[name](spark, FOLDER).toArrow()
-    assert differences(result, duck.execute(entry.oracle_sql()[name]).to_arrow_table()) == []
+    assert differences(result, duck.sql(entry.oracle_sql()[name]).to_arrow_table()) == []
 
 
 def test_checker_notices_differences(duck):
     def table(sql):
-        return duck.execute(sql).to_arrow_table()
+        return duck.sql(sql).to_arrow_table()
 
     assert differences(table("SELECT 1.0e0 AS a"), table("SELECT 1.1e0 AS a"))
     assert differences(table("SELECT 1 AS a"), table("SELECT 1 AS b"))
