@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +32,10 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/tabwright/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_all(*frames: DataFrame) -> list[DataFrame]:
+    """Stage several small results as jobs that run side by side."""
+    shared_folder(frames[0].sparkSession)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(stage, frames))
