@@ -22,6 +22,7 @@ from tabwright.plans import vehicles as v
 from tabwright.plans.prepare import prepare
 from tabwright.queries.registry import query, rnd, union
 from tabwright.queries.tables import ACCURACY, Tables
+from tabwright.sources.staging import stage_all
 
 KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 CATEGORIES, NUMERICS = ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"]
@@ -56,7 +57,9 @@ def least_squares(t: Tables):
 
 
 def _fit_and_score(t: Tables, name: str) -> DataFrame:
-    train, test = sample.split(sample.add_validation_flag(_lines(t), KEY), KEY)
+    columns = [*CATEGORIES, *NUMERICS, LABEL, "is_validation"]
+    lines = sample.add_validation_flag(_lines(t), KEY)
+    train, test = stage_all(*[side.select(*columns) for side in sample.split(lines, KEY)])
     model = _small("is_validation")[name].pipeline.fit(train)
     return evaluate.evaluate(name, model, LABEL, test, train)
 
@@ -116,9 +119,12 @@ def coefficient_groups(t: Tables):
 
 @query()
 def model_selection(t: Tables):
-    """Prepare listings, split by key, fit three candidates and report the winner's errors."""
+    """Prepare listings, write a split, fit three candidates and report the winner's errors.
+
+    The target size is out of reach, so the subset holds every usable row.
+    """
     prepared = modelling.usable_rows(prepare(t.listings, keep=["vin"]))
-    train, test = sample.split(prepared.drop(*v.UNUSED_IN_MODEL), ["vin"])
+    train, test = modelling.modelling_split(t.spark, prepared, t.new_path(), t.new_path(), ["vin"], target=10**12)
     models = modelling.train_candidates(
         train, ["vin"], rounds=1,
         grids={"linear": {"regParam": [0.001]}, "boosted": {"maxDepth": [3]}, "forest": {"maxDepth": [4]}},

@@ -7,9 +7,12 @@ in text, impossible coordinates and years, and one make with a third of all rows
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.session import tune
+from tabwright.sources.staging import shared_folder
 
 # Sketches of this accuracy are exact up to 100,000 values per group and stay below a few
 # megabytes per group beyond that.
@@ -148,6 +151,10 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def new_path(self) -> str:
+        """A path of its own in the folder that all executors share."""
+        return f"{shared_folder(self.spark)}/tabwright/{uuid.uuid4().hex}"
+
     @property
     def listings(self) -> DataFrame:
         mixed = self.lineitem.selectExpr("*", _MIX)
