@@ -85,6 +85,7 @@ def add_condition_segment(df: DataFrame, damage: Sequence[str], year: str = "yea
     """Old, risky, nearly new or standard, in that order of precedence."""
     damaged = F.coalesce(F.greatest(*[F.col(c) for c in damage]), F.lit(False))
     age_ok = F.col(year) >= as_of_year - 2
+    # The four segment names.
     segment = (
         F.when(F.col(year).isNull() | (F.col(year) < old_before), "clasico_o_muy_viejo")
         .when(damaged | (F.col(usage) > 200_000), "desguace_o_riesgo")

@@ -126,6 +126,8 @@ def test_draw_is_uniform_and_independent_of_partitioning(spark):
     low, high, mean = once.agg(F.min("u"), F.max("u"), F.avg("u")).head()
     assert 0 <= low < high < 1 and mean == pytest.approx(0.5, abs=0.01)
     assert once.select("u").distinct().count() > 19_990
+    with pytest.raises(ValueError):
+        draw.unit_draw([], 42)
 
 
 def test_haversine(spark):

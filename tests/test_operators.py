@@ -84,6 +84,10 @@ def test_top_options(spark):
     df = spark.createDataFrame([("['Sun Roof', 'ABS', 'Tow']",), ("['Sun Roof']",), ("[]",), (None,)], "o string")
     assert rows(rank.top_options(df, "o")) == [("sunroof", 2, 66.67)]
     assert rows(rank.top_options(df, "o", exclude=["sunroof"])) == []
+    keyed = df.withColumn("id", F.monotonically_increasing_id())
+    assert rows(rank.top_options(keyed, "o", fraction=0.999999, key=["id"])) == [("sunroof", 2, 66.67)]
+    with pytest.raises(ValueError):
+        rank.top_options(df, "o", fraction=0.5)
 
 
 def test_in_order(spark):
