@@ -77,7 +77,7 @@ def random_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> Da
 
 def option_list(col: Column) -> Column:
     """A bracketed list held as text, in lower case without quotes, brackets or spaces."""
-    return F.regexp_replace(F.lower(col), r"[\[\]'\"\s]", "")
+    return F.translate(F.lower(col), "[]'\" \t\n\x0b\f\r", "")
 
 
 def top_options(df: DataFrame, col: str, n: int = 20, min_pct: float = 1.0, fraction: float = 1.0,

@@ -123,7 +123,7 @@ def model_selection(t: Tables):
 
     The target size is out of reach, so the subset holds every usable row.
     """
-    prepared = modelling.usable_rows(prepare(t.listings, keep=["vin"]))
+    prepared = modelling.usable_rows(prepare(t.spread_listings, keep=["vin"]))
     train, test = modelling.modelling_split(t.spark, prepared, t.new_path(), t.new_path(), ["vin"], target=10**12)
     models = modelling.train_candidates(
         train, ["vin"], rounds=1,

@@ -366,13 +366,13 @@ WHERE NOT coalesce(year < 1980, FALSE)"""
 
 @query(f", {THRESHOLDS}, {USAGE_CAP}, {DAYS_CAP}, {_CLEANED} {_PREPARED}")
 def prepare_listings(t: Tables):
-    found = prepare(t.listings, accuracy=ACCURACY, keep=["vin"])
+    found = prepare(t.spread_listings, accuracy=ACCURACY, keep=["vin"])
     return found.withColumns({c: F.round(c, 6) for c in ("power_density", "log_price")})
 
 
 @query()
 def prepare_without_leakage(t: Tables):
-    train, test = sample.split(t.listings, ["vin"])
+    train, test = sample.split(t.spread_listings, ["vin"])
     sides = prepare_split(train, test, accuracy=ACCURACY, keep=["vin"])
     train, test = (df.withColumn("side", F.lit(name)) for df, name in zip(sides, ("train", "test")))
     return train.unionByName(test)

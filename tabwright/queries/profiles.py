@@ -209,7 +209,7 @@ def flag_frequency(t: Tables):
 @query(f""", {OPTION_SQL}, levels AS ({union([f"SELECT price, '{c}' AS flag, {c} AS level FROM options" for c in _FLAGS])})
 {segment_sql('levels', 'price', 'flag, level', 'price', 'price > 0', 30)}""")
 def flag_impact(t: Tables):
-    found = features.add_option_features(t.listings, v.OPTION_TERMS)
+    found = features.add_option_features(t.spread_listings, v.OPTION_TERMS)
     return profile.flag_impact(found, profile.flag_columns(found), "price", accuracy=ACCURACY)
 
 

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.session import tune
+from tabwright.sources.files import spread
 from tabwright.sources.staging import shared_folder
 
 # Sketches of this accuracy are exact up to 100,000 values per group and stay below a few
@@ -139,6 +140,11 @@ LISTINGS_SQL = (
 )
 
 
+def _derive(lineitem: DataFrame) -> DataFrame:
+    mixed = lineitem.selectExpr("*", _MIX)
+    return mixed.selectExpr(*[f"{expr} AS {name}" for name, (_, expr) in LISTING_COLUMNS.items()])
+
+
 class Tables:
     """The driver's tables under one folder, and the derived listings."""
 
@@ -157,5 +163,9 @@ class Tables:
 
     @property
     def listings(self) -> DataFrame:
-        mixed = self.lineitem.selectExpr("*", _MIX)
-        return mixed.selectExpr(*[f"{expr} AS {name}" for name, (_, expr) in LISTING_COLUMNS.items()])
+        return _derive(self.lineitem)
+
+    @property
+    def spread_listings(self) -> DataFrame:
+        """The same rows for jobs with much work per row, over all cores even when small."""
+        return _derive(spread(self.lineitem))
