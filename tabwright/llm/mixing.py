@@ -86,7 +86,7 @@ def land(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
 def _decided(rows: DataFrame, group: list[str], bucket: str, final: bool) -> DataFrame:
     """One level of flights. Large documents come first, so that small ones are left to land."""
     def fly(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["size", "hash", "id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        frame = frame.sort_values(["size", "spread", "hash"], ascending=[False, True, True], kind="stable", ignore_index=True)
         chance = flight(frame["size"].to_numpy(), frame["chance"].to_numpy())
         return frame.assign(chance=land(frame["size"].to_numpy(), chance) if final else chance)
 
@@ -94,13 +94,12 @@ def _decided(rows: DataFrame, group: list[str], bucket: str, final: bool) -> Dat
         fly, rows.withColumn("bucket", F.lit(0).cast("long")).schema).drop("bucket")
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0,
-        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """One row per document: key, source, size, source_size, target, copies, taken."""
+def _plan(docs: DataFrame, key: str, text: str, source: str, weights: tuple[float, ...], share: float, ceiling: float,
+          bucket_rows: int) -> DataFrame:
+    """One row per document, which is known by the text of its id, its source and a hash of id and text."""
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(key).alias("id"), F.col(source).cast("string").alias("origin"),
+        F.col(key).cast("string").alias("id"), F.col(source).cast("string").alias("origin"),
         F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.col(key), F.col(text)).alias("hash"),
     )
@@ -109,7 +108,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     rows = rows.groupBy("id", "origin", "size", "hash").agg(F.count("*").alias("n"))
     rows = rows.withColumn("run", F.explode(F.expr(f"sequence(0L, (n - 1) div {run})")))
     rows = rows.withColumn("nth", F.explode(F.expr(f"sequence(run * {run}, least(n, (run + 1) * {run}) - 1)")))
-    rows = stage(rows.select("id", "origin", "size", F.xxhash64("hash", "nth").alias("hash")))
+    rows = stage(rows.select("id", "origin", "size", "hash", F.xxhash64("hash", "nth").alias("spread")))
     # One row per source comes to the driver; what a source is named has to be few by nature.
     totals = rows.groupBy("origin").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     wanted = targets([(t["origin"], t["size"]) for t in totals], weights, share, ceiling)
@@ -117,12 +116,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
              -(-t["n"] // bucket_rows)) for i, t in enumerate(sorted(totals, key=lambda t: (t["origin"] is None, t["origin"] or "")))]
     sources = spark.createDataFrame(plan, "number string, name string, source_size long, target double, rate double, buckets long")
     rows = rows.join(sources, F.col("origin").eqNullSafe(F.col("name"))).select(
-        "id", "number", "size", "hash", "buckets", F.floor("rate").alias("whole"),
+        "id", "number", "size", "hash", "spread", "buckets", F.floor("rate").alias("whole"),
         (F.col("rate") - F.floor("rate")).alias("chance"))
     done, level, most = [], 0, max((p[-1] for p in plan), default=1)
     while True:
         # Buckets of a level: all rows by hash first, then what many buckets left undecided.
-        flown = stage(_decided(rows, ["number"], "pmod(hash, buckets)", final=most == 1))
+        flown = stage(_decided(rows, ["number"], "pmod(spread, buckets)", final=most == 1))
         if most == 1:
             done.append(flown)
             break
@@ -133,7 +132,37 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     decided = done[0]
     for more in done[1:]:
         decided = decided.unionByName(more)
-    return decided.join(sources.withColumnRenamed("buckets", "b"), "number").select(
-        F.col("id").alias(key), F.col("name").alias(source), "size", "source_size", "target",
-        (F.col("whole") + F.round("chance")).cast("int").alias("copies"),
-        (F.col("size") * (F.col("whole") + F.round("chance"))).cast("long").alias("taken"))
+    taken = F.col("whole") + F.round("chance")
+    return decided.join(sources.drop("buckets"), "number").select(
+        "id", F.col("name").alias("origin"), "hash", "size", "source_size", "target", taken.cast("int").alias("copies"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+        weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0,
+        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """One row per document: key, source, size, source_size, target, copies, taken."""
+    return _plan(docs, key, text, source, weights, share, ceiling, bucket_rows).select(
+        F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("origin").alias(source), "size", "source_size", "target",
+        "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+          weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0,
+          bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The input with each row as often as the mix takes it, in its own columns.
+
+    Rows that agree in key, text and source are interchangeable: of these, one stands for all, as
+    often as the mix takes them together.
+    """
+    names, run = docs.columns, 1_000
+    plan = _plan(docs, key, text, source, weights, share, ceiling, bucket_rows).groupBy("id", "origin", "hash").agg(
+        F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    marked = docs.withColumn("__hash", F.xxhash64(F.col(key), F.col(text)))
+    same = marked[key].cast("string").eqNullSafe(plan["id"]) & marked[source].cast("string").eqNullSafe(plan["origin"]) & (marked["__hash"] == plan["hash"])
+    found = marked.join(plan, same).where("__copies > 0").select(*names, "__hash", "__copies", "__rows")
+    alone = found.where("__rows = 1").withColumn("__nth", F.explode(F.expr("sequence(1L, __copies)")))
+    # Copies of rows that repeat are dealt out in runs, so that no task writes all of them.
+    repeated = found.where("__rows > 1").dropDuplicates(["__hash", key, source])
+    repeated = repeated.withColumn("__run", F.explode(F.expr(f"sequence(0L, (__copies - 1) div {run})"))).repartition("__hash", "__run")
+    repeated = repeated.withColumn("__nth", F.explode(F.expr(f"sequence(1L, least({run}L, __copies - __run * {run}))")))
+    return alone.select(*names).unionByName(repeated.select(*names))

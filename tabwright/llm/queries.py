@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import langid, mixing, packing, sharding, toxicity
+from tabwright.llm import jaccard, langid, mixing, packing, sharding, toxicity
 from tabwright.llm.common import held_out
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -32,6 +32,11 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), keep_ids=False)
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.components(table(spark, folder, "documents"), words=3, threshold=(9, 10))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_cube_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -55,7 +60,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op9_language_id,
+        op1_best_fit_packing, op2_ngram_jaccard, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op9_language_id,
     )
 }
 ORACLES: dict[str, str] = {}
