@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import jaccard, langid, mixing, packing, sharding, toxicity
+from tabwright.llm import jaccard, langid, mixing, packing, sharding, toxicity, warc
 from tabwright.llm.common import held_out
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -58,9 +58,25 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write(table(spark, folder, "pages"), "page_id", "url", "html")
+    found = warc.resolved(warc.read(spark, archives))
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op2_ngram_jaccard, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op9_language_id,
+        op1_best_fit_packing, op2_ngram_jaccard, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op9_language_id, op10_warc,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+        WITH rows AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages
+        ), firsts AS (SELECT digest, min(page_id) AS first FROM rows WHERE bytes >= 100 GROUP BY digest)
+        SELECT page_id, bytes AS payload_bytes, rows.digest AS payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM rows LEFT JOIN firsts ON rows.digest = firsts.digest
+    """,
+}
