@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import jaccard, langid, mixing, packing, sharding, toxicity, warc
+from tabwright.llm import jaccard, langid, mixing, neardup, packing, sharding, toxicity, warc
 from tabwright.llm.common import held_out
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -52,6 +52,10 @@ def op7_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op8_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.links(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = langid.predict(docs, language_model(spark, folder))
@@ -66,7 +70,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op2_ngram_jaccard, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op9_language_id, op10_warc,
+        op1_best_fit_packing, op2_ngram_jaccard, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op8_embedding_neardup, op9_language_id, op10_warc,
     )
 }
 ORACLES: dict[str, str] = {
