@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import ann, jaccard, langid, mixing, neardup, packing, sharding, toxicity, warc
+from tabwright.llm import ann, html_extract, jaccard, langid, mixing, neardup, packing, sharding, toxicity, warc
 from tabwright.llm.common import held_out
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -42,6 +42,10 @@ def op3_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.main_text(table(spark, folder, "pages"))
+
+
 def op5_cube_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -75,7 +79,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op2_ngram_jaccard, op3_prefix_forest, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op8_embedding_neardup, op9_language_id, op10_warc,
+        op1_best_fit_packing, op2_ngram_jaccard, op3_prefix_forest, op4_html_text, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op8_embedding_neardup, op9_language_id, op10_warc,
     )
 }
 ORACLES: dict[str, str] = {
