@@ -198,11 +198,17 @@ def log_target(df: DataFrame, col: str = "price", out: str = "log_price") -> Dat
 
 
 def back_transform(df: DataFrame, label: str = "log_price", prediction: str = "prediction") -> DataFrame:
-    """Actual and predicted values in original units, with absolute and percent error."""
-    actual = F.round(F.exp(label), 0).cast("int")
-    predicted = F.round(F.exp(prediction), 0).cast("int")
+    """Actual and predicted values in original units, with absolute and percent error.
+
+    Amounts beyond the range of an integer stop at its end, so that one wild prediction does
+    not end the job.
+    """
+    def amount(log: str) -> Column:
+        return F.least(F.round(F.exp(log), 0), F.lit(2147483647.0)).cast("int")
+
+    actual, predicted = amount(label), amount(prediction)
     priced = df.withColumns({"actual": actual, "predicted": predicted})
-    gap = F.abs(F.col("actual") - F.col("predicted"))
+    gap = F.abs(F.col("actual").cast("long") - F.col("predicted")).cast("int")
     return priced.withColumns({
         "error_abs": gap,
         "error_pct": F.round(F.try_divide(gap, F.col("actual")) * 100, 2),

@@ -45,7 +45,7 @@ FUNCTIONAL_GROUPS = {
     "commercial": ("price", "seller_rating", "is_certified"),
 }
 
-# --- Column roles -----------------------------------------------------------------------
+# --- Fixed values: column roles ---------------------------------------------------------
 
 IDENTIFIERS = ("vin", "listing_id", "sp_id")
 MEASURES = (
@@ -74,10 +74,9 @@ EXPENSIVE_CONTEXT = (
     "make_name", "model_name", "trim_name", "year", "body_type", "fuel_type", "is_new", "mileage", "horsepower",
 )
 TOP_ROW_CONTEXT = ("model_name", "trim_name", "year", "body_type", "is_new", "mileage", "horsepower")
-OUTLIER_CONTEXT = ("make_name", "model_name", "trim_name", "year", "body_type", "is_new", "mileage", "horsepower")
 OUTLIER_SEGMENTS = ("make_name", "body_type", "is_new")
 
-# --- Preparation ------------------------------------------------------------------------
+# --- Fixed values: preparation ----------------------------------------------------------
 
 UNUSED = (
     "combine_fuel_economy", "is_certified", "vehicle_damage_category", "vin", "listing_id", "sp_id",
@@ -106,7 +105,7 @@ IMPUTATION_BLOCKS = (
 )
 FALLBACK_AGE = 5.0
 
-# --- Modelling --------------------------------------------------------------------------
+# --- Fixed values: modelling ------------------------------------------------------------
 
 LABEL = "log_price"
 UNUSED_IN_MODEL = ("city", "exterior_color", "interior_color", "model_name", "trim_name")

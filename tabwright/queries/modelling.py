@@ -1,8 +1,8 @@
 """Queries: model pipelines, search, scoring and error reports.
 
-Results of iterative fits have no SQL equivalent; they are registered without one, except
-ordinary least squares on one feature. Everything computed from predictions is checked on a
-prediction column that both engines can derive.
+Fits are checked where they have a closed form: a line through one number, means of groups.
+Everything computed from predictions is checked on a prediction column that both engines can
+derive. The whole selection has no SQL equivalent and is registered without one.
 """
 
 from __future__ import annotations
@@ -10,127 +10,205 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions import labels
 from tabwright.models import coefficients, evaluate, pipelines, search
-from tabwright.operators import features, sample, stats
+from tabwright.operators import features, stats
 from tabwright.plans import modelling
 from tabwright.plans import vehicles as v
 from tabwright.plans.prepare import prepare
+from tabwright.queries.preparation import _CLEANED, _PREPARED, DAYS_CAP, THRESHOLDS, USAGE_CAP
 from tabwright.queries.registry import query, rnd, union
+from tabwright.queries.statistics import draw_sql
 from tabwright.queries.tables import ACCURACY, Tables
-from tabwright.sources.staging import stage_all
 
 KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-CATEGORIES, NUMERICS = ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"]
+KEY_SQL = " || '|' || ".join(KEY)
 LABEL = "log_price"
+_TRUE_PRICE = "ln(floor(l_extendedprice))"
 
 
 def _lines(t: Tables) -> DataFrame:
     return t.lineitem.withColumn(LABEL, F.log("l_extendedprice"))
 
 
-def _small(validation: str | None = None) -> dict[str, pipelines.Candidate]:
-    return pipelines.candidates(
-        CATEGORIES, NUMERICS, LABEL, validation=validation, linear={"maxIter": 20}, boosted={"maxIter": 4, "maxDepth": 3},
-        forest={"numTrees": 5, "maxDepth": 4})
+def _small(validation: str | None = None, **options) -> dict[str, pipelines.Candidate]:
+    """Candidates without penalty or ensemble, whose fits have a closed form."""
+    plain = {"linear": {"regParam": 0.0, "elasticNetParam": 0.0}, "boosted": {"maxIter": 1, "maxDepth": 1},
+             "forest": {"numTrees": 1, "maxDepth": 1, "bootstrap": False}}
+    return pipelines.candidates(options.pop("categories", []), options.pop("numbers", ["l_quantity"]), options.pop("label", LABEL),
+                                validation=validation, **plain | options)
 
 
 # --- fits -------------------------------------------------------------------------------
+# Checked where a fit has a closed form: a line through one number, means of groups.
+
+_SLOPE = "regr_slope(ln(l_extendedprice), l_quantity)"
+
 
 @query("""
-SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+SELECT round(regr_slope(l_extendedprice, l_quantity) * stddev_samp(l_quantity), 3) AS slope,
        round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept,
        round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""")
 def least_squares(t: Tables):
-    vector = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
-    line = LinearRegression(labelCol="l_extendedprice", regParam=0.0, solver="normal")
+    """The linear candidate without penalty; the slope is that of the standardised number."""
     lines = t.lineitem.select("l_quantity", "l_extendedprice")
-    model = Pipeline(stages=[vector, line]).fit(lines)
+    model = _small(label="l_extendedprice", with_mean=False)["linear"].pipeline.fit(lines)
     fitted = model.stages[-1]
     r2 = evaluate.regression_metrics(model.transform(lines), "l_extendedprice").select(F.round("r2", 6).alias("r2"))
-    return r2.select(F.round(F.lit(float(fitted.coefficients[0])), 4).alias("slope"),
+    return r2.select(F.round(F.lit(float(fitted.coefficients[0])), 3).alias("slope"),
                      F.round(F.lit(float(fitted.intercept)), 3).alias("intercept"), "r2")
 
 
-def _fit_and_score(t: Tables, name: str) -> DataFrame:
-    columns = [*CATEGORIES, *NUMERICS, LABEL, "is_validation"]
-    lines = sample.add_validation_flag(_lines(t), KEY)
-    train, test = stage_all(*[side.select(*columns) for side in sample.split(lines, KEY)])
-    model = _small("is_validation")[name].pipeline.fit(train)
-    return evaluate.evaluate(name, model, LABEL, test, train)
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(avg(ln(l_extendedprice)) OVER (PARTITION BY l_returnflag), 4) "
+       "AS prediction FROM lineitem")
+def elastic_net(t: Tables):
+    """The linear candidate without penalty on one-hot columns alone predicts group means."""
+    lines = _lines(t)
+    model = _small(categories=["l_returnflag"], numbers=[])["linear"].pipeline.fit(lines)
+    return model.transform(lines).select(*KEY, F.round("prediction", 4).alias("prediction"))
 
 
-@query()
-def elastic_net(t: Tables):
-    return _fit_and_score(t, "linear")
+_HALVES = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    round(avg(ln(l_extendedprice)) OVER (PARTITION BY l_quantity > 25), 6) AS prediction FROM lineitem"""
 
 
-@query()
+def _halves(t: Tables, name: str) -> DataFrame:
+    lines = _lines(t).withColumn("many", (F.col("l_quantity") > 25).cast("double"))
+    model = _small(numbers=["many"])[name].pipeline.fit(lines)
+    return model.transform(lines).select(*KEY, F.round("prediction", 6).alias("prediction"))
+
+
+@query(_HALVES)
 def boosted_trees(t: Tables):
-    return _fit_and_score(t, "boosted")
+    """One round of depth one on a 0/1 column predicts the mean of each half."""
+    return _halves(t, "boosted")
 
 
-@query()
+@query(_HALVES)
 def random_forest(t: Tables):
-    return _fit_and_score(t, "forest")
+    """One tree of depth one, without bootstrap, on a 0/1 column predicts the mean of each half."""
+    return _halves(t, "forest")
 
 
-@query()
+@query("""
+SELECT l_shipdate_month AS label, row_number() OVER (ORDER BY count(*) DESC, l_shipdate_month) - 1 AS place
+FROM (SELECT CAST(month(l_shipdate) AS VARCHAR) AS l_shipdate_month FROM lineitem) AS m GROUP BY l_shipdate_month""")
+def index_order(t: Tables):
+    """Categories are numbered by how frequent they are, and then by name."""
+    months = t.lineitem.select(F.month("l_shipdate").cast("string").alias("month"))
+    model = Pipeline(stages=pipelines.encoding_stages(["month"], [])[:1]).fit(months)
+    labels = model.stages[0].labelsArray[0]
+    return t.spark.createDataFrame([(label, i) for i, label in enumerate(labels)], "label string, place long")
+
+
+_SIDES = f"(SELECT ln(l_extendedprice) AS y, l_quantity AS x, {draw_sql(KEY_SQL, 42)} AS draw FROM lineitem)"
+
+
+@query(f"""
+WITH sides AS {_SIDES}, line AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides WHERE draw < 8e-1)
+SELECT 'elasticNetParam=0.0, regParam=0.0' AS params, round(sqrt(avg(pow(y - a * x - b, 2))), 6) AS rmse_val
+FROM sides, line WHERE draw >= 8e-1""")
 def split_search(t: Tables):
     candidate = _small()["linear"]
-    grid = search.param_grid(candidate, {"regParam": [0.001, 0.1], "elasticNetParam": [0.7, 1.0]})
-    model = search.search_split(candidate.pipeline, grid, _lines(t), LABEL)
-    return search.results(t.spark, grid, model.validationMetrics)
+    grid = search.param_grid(candidate, {"regParam": [0.0], "elasticNetParam": [0.0]})
+    model = search.search_split(candidate.pipeline, grid, _lines(t), LABEL, KEY)
+    return stats.round_doubles(search.results(t.spark, grid, model.validationMetrics), 6)
 
 
-@query()
+@query("""
+SELECT 'elasticNetParam=' || net || ', regParam=' || reg AS params
+FROM (SELECT unnest(['0.7', '0.9', '1.0']) AS net) AS n, (SELECT unnest(['0.0002', '0.0005', '0.001', '0.002', '0.005']) AS reg) AS r""")
 def refined_search(t: Tables):
+    """The second round's settings around the first round's winner, as scored; the weak penalty wins by far."""
     candidate, lines = _small()["linear"], _lines(t)
     first = search.search_split(
-        candidate.pipeline, search.param_grid(candidate, {"regParam": [0.001, 0.1], "elasticNetParam": [0.7]}), lines, LABEL)
+        candidate.pipeline, search.param_grid(candidate, {"regParam": [0.001, 100.0], "elasticNetParam": [1.0]}), lines, LABEL, KEY)
     grid = search.param_grid(candidate, search.refined_grid("linear", first))
-    second = search.search_split(candidate.pipeline, grid, lines, LABEL)
-    return search.results_summary(search.results(t.spark, grid, second.validationMetrics))
+    second = search.search_split(candidate.pipeline, grid, lines, LABEL, KEY, parallelism=4)
+    return search.results(t.spark, grid, second.validationMetrics).select("params")
 
 
-@query()
+@query(f"""
+WITH sides AS (SELECT *, CAST(floor(draw * 3) AS INTEGER) AS fold FROM {_SIDES} AS d), folds AS (SELECT unnest([0, 1, 2]) AS f),
+lines AS (SELECT f, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides, folds WHERE fold <> f GROUP BY f),
+scores AS (SELECT f, sqrt(avg(pow(y - a * x - b, 2))) AS rmse FROM sides, lines WHERE fold = f GROUP BY f)
+SELECT 'elasticNetParam=0.0, regParam=0.0' AS params, round(avg(rmse), 6) AS rmse_cv FROM scores""")
 def fold_search(t: Tables):
     candidate = _small()["linear"]
-    grid = search.param_grid(candidate, {"regParam": [0.001, 0.1]})
-    model = search.search_folds(candidate.pipeline, grid, _lines(t), LABEL, folds=3)
-    return search.results(t.spark, grid, model.avgMetrics, "rmse_cv")
+    grid = search.param_grid(candidate, {"regParam": [0.0], "elasticNetParam": [0.0]})
+    model = search.search_folds(candidate.pipeline, grid, _lines(t), LABEL, KEY, folds=3)
+    return stats.round_doubles(search.results(t.spark, grid, model.avgMetrics, "rmse_cv"), 6)
 
 
-@query()
+@query(f"""SELECT 'l_quantity' AS feature, round({_SLOPE} * stddev_samp(l_quantity), 6) AS coef,
+           round(abs({_SLOPE} * stddev_samp(l_quantity)), 6) AS abs_coef FROM lineitem""")
 def coefficient_table(t: Tables):
     lines = _lines(t)
-    return coefficients.coefficients(_small()["linear"].pipeline.fit(lines), lines)
+    return stats.round_doubles(coefficients.coefficients(_small()["linear"].pipeline.fit(lines), lines), 6)
 
 
-@query()
+@query("""
+SELECT r_name AS "group", count(*) AS n_coef, count(*) FILTER (WHERE coef = 0) AS n_zero, count(*) FILTER (WHERE coef <> 0) AS n_nonzero,
+       max(abs(coef)) AS max_abs_coef, count(*) FILTER (WHERE coef = 0) * 100e0 / count(*) AS pct_zero
+FROM (SELECT r_name, CAST(n_nationkey % 4 AS DOUBLE) - 1e0 AS coef FROM nation JOIN region ON n_regionkey = r_regionkey) AS c GROUP BY r_name
+UNION ALL SELECT n_name, 1, 0, 1, 2e0, 0e0 FROM nation""")
 def coefficient_groups(t: Tables):
-    lines = _lines(t)
-    return coefficients.analyse(_small()["linear"].pipeline.fit(lines), lines)["groups"]
+    """Groups of a table of coefficients that both engines can derive."""
+    nation = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    encoded = nation.select(F.concat_ws("_ohe_", "r_name", "n_name").alias("feature"), ((F.col("n_nationkey") % 4).cast("double") - 1).alias("coef"))
+    plain = t.nation.select(F.col("n_name").alias("feature"), F.lit(-2.0).alias("coef"))
+    table = encoded.unionByName(plain).withColumn("abs_coef", F.abs("coef"))
+    return coefficients.coefficient_groups(table)
+
+
+@query(f"""
+WITH s AS (SELECT l_returnflag, {_TRUE_PRICE} AS y, l_quantity AS x FROM lineitem), m AS (
+  SELECT l_returnflag, 1 - avg(pow(2e-3 * (x - 25e0), 2)) / var_pop(y) AS near, 1 - avg(pow(3e-2 * (x - 25e0), 2)) / var_pop(y) AS far FROM s GROUP BY l_returnflag)
+SELECT l_returnflag, CASE WHEN abs(near - far) > 0.05 THEN 'possible_overfit' ELSE 'ok' END AS label,
+       CASE WHEN abs(near - near) > 0.05 THEN 'possible_overfit' ELSE 'ok' END AS same FROM m""")
+def overfit_labels(t: Tables):
+    """Labels from the R2 of two fixed prediction columns, per group."""
+    y = F.log(F.floor("l_extendedprice").cast("double"))
+
+    def r2(slope: float) -> Column:
+        return 1 - F.avg(F.pow(F.lit(slope) * (F.col("l_quantity") - 25), F.lit(2))) / F.var_pop(y)
+
+    scores = t.lineitem.groupBy("l_returnflag").agg(r2(0.002).alias("near"), r2(0.03).alias("far"))
+    return scores.select("l_returnflag", labels.overfit(F.col("near"), F.col("far")).alias("label"),
+                         labels.overfit(F.col("near"), F.col("near")).alias("same"))
+
+
+@query(f", {THRESHOLDS}, {USAGE_CAP}, {DAYS_CAP}, {_CLEANED}, prepared AS ({_PREPARED}) "
+       "SELECT make_name, count(*) AS n, count(*) AS n_scored FROM prepared WHERE log_price IS NOT NULL GROUP BY make_name")
+def scored_rows(t: Tables):
+    """Every labelled row gets a prediction, whatever inputs it lacks."""
+    prepared = features.boolean_as_double(modelling.usable_rows(prepare(t.spread_listings, accuracy=ACCURACY, keep=["vin"])), v.MODEL_BOOLEANS)
+    categories, others = modelling.model_columns(prepared)
+    made = pipelines.candidates(categories, others, v.LABEL, validation=None, with_mean=False, linear={"maxIter": 5}, filled=others,
+                                flagged=pipelines.open_columns(prepared, others))
+    scored = made["linear"].pipeline.fit(prepared).transform(prepared)
+    known = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return scored.groupBy("make_name").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(known, 1)).alias("n_scored"))
 
 
 @query()
 def model_selection(t: Tables):
-    """Prepare listings, write a split, fit three candidates and report the winner's errors.
+    """Prepare listings, draw a stratified subset, split it, tune three candidates in two rounds, and report the winner's errors.
 
-    The target size is out of reach, so the subset holds every usable row.
+    Grids and ensembles are the registered query's own parameters; the library's defaults are larger.
     """
     prepared = modelling.usable_rows(prepare(t.spread_listings, keep=["vin"]))
-    train, test = modelling.modelling_split(t.spark, prepared, t.new_path(), t.new_path(), ["vin"], target=10**12)
+    train, test = modelling.modelling_split(t.spark, prepared, t.new_path(), t.new_path(), ["vin"], target=20_000, min_rows=50)
     models = modelling.train_candidates(
-        train, ["vin"], rounds=1,
-        grids={"linear": {"regParam": [0.001]}, "boosted": {"maxDepth": [3]}, "forest": {"maxDepth": [4]}},
-        linear={"maxIter": 10}, boosted={"maxIter": 3}, forest={"numTrees": 5})
+        train, ["vin"], rounds=2, parallelism=4,
+        grids={"linear": {"regParam": [0.001], "elasticNetParam": [1.0]}, "boosted": {"maxDepth": [3]}, "forest": {"maxDepth": [4]}},
+        linear={"maxIter": 10}, boosted={"maxIter": 12}, forest={"numTrees": 5})
     selection = modelling.select(models, test)
-    return modelling.error_report(selection, test, ["vin"])["summary"].withColumn("model", F.lit(selection.best))
+    return modelling.error_report(selection, test, ["vin"])["summary"].withColumns(
+        {"model": F.lit(selection.best), "n_models": F.lit(len(models))})
 
 
 # --- columns ----------------------------------------------------------------------------

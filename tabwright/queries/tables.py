@@ -11,8 +11,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.session import tune
-from tabwright.sources.files import spread
 from tabwright.sources.staging import shared_folder
 
 # Sketches of this accuracy are exact up to 100,000 values per group and stay below a few
@@ -149,7 +147,7 @@ class Tables:
     """The driver's tables under one folder, and the derived listings."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = tune(spark)
+        self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -167,5 +165,5 @@ class Tables:
 
     @property
     def spread_listings(self) -> DataFrame:
-        """The same rows for jobs with much work per row, over all cores even when small."""
-        return _derive(spread(self.lineitem))
+        """The same rows for jobs with much work per row, dealt out by key."""
+        return _derive(self.lineitem.repartition("l_orderkey", "l_linenumber"))

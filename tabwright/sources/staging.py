@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,7 +36,8 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def stage_all(*frames: DataFrame) -> list[DataFrame]:
-    """Stage several small results as jobs that run side by side."""
-    shared_folder(frames[0].sparkSession)
+    """Stage several small results as jobs that run side by side, with the caller's job settings."""
+    spark = frames[0].sparkSession
+    shared_folder(spark)
     with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(stage, frames))
+        return [job.result() for job in [pool.submit(inheritable_thread_target(spark)(stage), df) for df in frames]]
