@@ -42,7 +42,7 @@ from tabwright.sources.staging import stage
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing count and share of every column."""
-    rows = per_column(df, {f.name: {"n_missing": tally(is_missing(f))} for f in df.schema})
+    rows = per_column(df, {f.name: {"missing": is_missing(f)} for f in df.schema}, {"n_missing": tally(F.col("missing"))})
     return rows.withColumn("missing_pct", percent(F.col("n_missing"), F.col("n_total")))
 
 
@@ -50,7 +50,8 @@ def target_correlation(df: DataFrame, target: str, exclude: Sequence[str] = ())
     """Correlation of every numeric column with the target, strongest first."""
     cols = numeric_columns(df, [target, *exclude])
     rows = per_column(df.where(F.col(target).isNotNull()),
-                      {c: {"corr": pearson(F.col(c), F.col(target))} for c in cols}, chunk=4)
+                      {c: {"x": F.col(c).cast("double"), "y": F.col(target).cast("double")} for c in cols},
+                      {"corr": pearson(F.col("x"), F.col("y"))})
     rows = rows.withColumn("strength", labels.correlation_strength(F.col("corr")))
     return rows.drop("n_total").orderBy(F.abs("corr").desc_nulls_last(), "column")
 
@@ -61,15 +62,11 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, exclude: S
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Moments, median and zeros of each numeric column, with five recommendations."""
     cols = numeric_columns(df, exclude) if cols is None else present(df, cols)
-    stats, medians = {}, {}
-    for c in cols:
-        x = F.col(c).cast("double")
-        stats[c] = {
-            "n": F.count(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "stddev": F.stddev(x),
-            "skew": F.skewness(x), "kurt": F.kurtosis(x), "zeros": tally(x == 0),
-        }
-        medians[c] = {"median": quantile(x, 0.5, accuracy)}
-    rows = per_column(df, stats, medians, chunk=4)
+    x = F.col("x")
+    rows = per_column(df, {c: {"x": F.col(c).cast("double")} for c in cols}, {
+        "n": F.count(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "stddev": F.stddev(x),
+        "skew": F.skewness(x), "kurt": F.kurtosis(x), "zeros": tally(x == 0),
+    }, {"median": quantile(x, 0.5, accuracy)})
     rows = rows.withColumns({s: finite(F.col(s)) for s in ("min", "max", "mean", "median", "stddev", "skew", "kurt")})
     return rows.withColumns({
         "null_pct": percent(F.col("n_total") - F.col("n"), F.col("n_total")),
@@ -155,9 +152,9 @@ def boolean_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     """Nulls, trues and falses of each boolean column; other types are left out."""
     flags = boolean_columns(df)
     cols = flags if cols is None else [c for c in cols if c in flags]
-    rows = per_column(df, {
-        c: {"nulls": tally(F.col(c).isNull()), "trues": tally(F.col(c)), "falses": tally(~F.col(c))} for c in cols
-    })
+    x = F.col("x")
+    rows = per_column(df, {c: {"x": F.col(c)} for c in cols}, {
+        "nulls": F.count_if(F.col("_row") & x.isNull()), "trues": tally(x), "falses": tally(~x)})
     return rows.withColumns({
         f"{one}_pct": percent(F.col(many), F.col("n_total"))
         for one, many in (("null", "nulls"), ("true", "trues"), ("false", "falses"))
@@ -175,7 +172,7 @@ def flag_columns(df: DataFrame, prefix: str = "has_") -> list[str]:
 
 
 def flag_frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    rows = per_column(df, {c: {"n_set": tally(F.col(c) == 1)} for c in cols})
+    rows = per_column(df, {c: {"set": F.col(c) == 1} for c in cols}, {"n_set": tally(F.col("set"))})
     return rows.withColumn("set_pct", percent(F.col("n_set"), F.col("n_total")))
 
 
@@ -193,10 +190,9 @@ def group_health(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
     flags, numbers = set(boolean_columns(df)), set(numeric_columns(df))
     member = {c: g for g, cols in groups.items() for c in present(df, cols)}
     rows = per_column(df, {
-        c: {"nulls": tally(F.col(c).isNull()),
-            "zeros": tally(~F.col(c) if c in flags else F.col(c) == 0 if c in numbers else is_zero(F.col(c)))}
+        c: {"null": F.col(c).isNull(), "zero": ~F.col(c) if c in flags else F.col(c) == 0 if c in numbers else is_zero(F.col(c))}
         for c in member
-    })
+    }, {"nulls": tally(F.col("null")), "zeros": tally(F.col("zero"))})
     names = F.create_map(*[F.lit(v) for c, g in member.items() for v in (c, g)])
     types = F.create_map(*[F.lit(v) for c in member for v in (c, kinds[c])])
     rows = rows.withColumns({
@@ -215,19 +211,14 @@ def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACC
     """Blank and null counts and the length of the trimmed text of each column."""
     cols = present(df, cols)
     # Only lengths go on, so that the text itself is trimmed once and then forgotten.
-    sizes = df.select(*[F.length(F.trim(F.col(c).cast("string"))).alias(c) for c in cols])
-    stats, medians = {}, {}
-    for c in cols:
-        size = F.when(F.col(c) > 0, F.col(c))
-        stats[c] = {
-            "blanks": tally(size.isNull()),
-            "nulls": tally(F.col(c).isNull()),
-            "min_length": F.coalesce(F.min(size), F.lit(0)),
-            "mean_length": F.coalesce(F.avg(size), F.lit(0.0)),
-            "max_length": F.coalesce(F.max(size), F.lit(0)),
-        }
-        medians[c] = {"median_length": F.coalesce(quantile(size, 0.5, accuracy), F.lit(0))}
-    rows = per_column(sizes, stats, medians, chunk=8)
+    real, size = F.col("_row"), F.when(F.col("size") > 0, F.col("size"))
+    rows = per_column(df, {c: {"size": F.length(F.trim(F.col(c).cast("string")))} for c in cols}, {
+        "blanks": F.count_if(real & size.isNull()),
+        "nulls": F.count_if(real & F.col("size").isNull()),
+        "min_length": F.coalesce(F.min(size), F.lit(0)),
+        "mean_length": F.coalesce(F.avg(size), F.lit(0.0)),
+        "max_length": F.coalesce(F.max(size), F.lit(0)),
+    }, {"median_length": F.coalesce(quantile(size, 0.5, accuracy), F.lit(0))})
     low, high, mean = F.col("min_length"), F.col("max_length"), F.col("mean_length")
     return rows.withColumn("blank_pct", percent(F.col("blanks"), F.col("n_total"))).withColumns({
         "imputation": labels.text_imputation(F.col("blank_pct")),
@@ -238,13 +229,12 @@ def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACC
 
 def mistyped_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Text columns that may hold numbers: blank, with a number and without one."""
-    stats = {}
+    cells = {}
     for c in present(df, cols):
         text = F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
-        numbered = F.regexp_extract(text, SIGNED_NUMBER, 1) != ""
-        stats[c] = {"blanks": tally(text == ""), "with_number": tally(numbered),
-                    "without_number": tally((text != "") & ~numbered)}
-    rows = per_column(df, stats, chunk=4)
+        cells[c] = {"blank": text == "", "numbered": F.regexp_extract(text, SIGNED_NUMBER, 1) != ""}
+    blank, numbered = F.col("blank"), F.col("numbered")
+    rows = per_column(df, cells, {"blanks": tally(blank), "with_number": tally(numbered), "without_number": tally(~blank & ~numbered)})
     rows = rows.withColumns({
         f"{s}_pct": percent(F.col(s), F.col("n_total")) for s in ("blanks", "with_number", "without_number")
     })

@@ -3,48 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.predicates import is_blank
 
+def per_column(df: DataFrame, cells: dict[str, dict[str, Column]], stats: dict[str, Column],
+               sketches: dict[str, Column] | None = None) -> DataFrame:
+    """One row per column of aggregates, with the number of rows as ``n_total``.
 
-def _wide_then_rows(df: DataFrame, stats: dict[str, dict[str, Column]], chunk: int, total: bool) -> DataFrame:
-    names = list(stats)
-    size = [F.count(F.lit(1)).alias("n_total")] if total else []
-    parts = []
-    for start in range(0, len(names), chunk):
-        group = names[start:start + chunk]
-        wide = df.agg(*size, *[
-            agg.alias(f"{i}_{stat}") for i, c in enumerate(group) for stat, agg in stats[c].items()])
-        rows = [
-            F.struct(F.lit(c).alias("column"), *(["n_total"] if total else []),
-                     *[F.col(f"{i}_{s}").alias(s) for s in stats[c]])
-            for i, c in enumerate(group)
-        ]
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
+    ``cells`` maps a column to named values taken from each row; all columns use the same names and
+    types. ``stats`` are aggregates over these names, such as ``{"n": F.count("x")}``. The input is
+    read once for any number of columns: its cells become rows, and one hash aggregate keyed by
+    column reduces them before the shuffle, so each task sends one row per column. Generated
+    code stays small however wide the table is.
 
-
-def per_column(df: DataFrame, stats: dict[str, dict[str, Column]], sketches: dict[str, dict[str, Column]] | None = None,
-               chunk: int = 16) -> DataFrame:
-    """Aggregate columns without a shuffle of rows and return one row per column.
-
-    ``stats`` maps a column to its aggregates; all columns share the same aggregate names
-    and types. A pass covers ``chunk`` columns, because the JVM stops compiling the update
-    loop once it holds a few dozen moment aggregates, which makes it some twenty times
-    slower. Passes run side by side and a columnar source reads each column once.
-
-    Quantiles go in ``sketches``: they use object buffers, for which Spark generates no
-    fused loop, so mixing them in would slow all other aggregates down.
+    Quantiles go in ``sketches`` and take a second pass: they use object buffers, for which
+    Spark generates no fused loop, so mixing them in would slow all other aggregates down.
     """
-    if not stats:
+    if not cells:
         raise ValueError("no column to aggregate")
-    rows = _wide_then_rows(df, stats, chunk, total=True)
+    structs = [F.struct(F.lit(c).alias("column"), F.lit(True).alias("_row"), *[value.alias(name) for name, value in named.items()])
+               for c, named in cells.items()]
+    long = df.select(F.inline(F.array(*structs)))
+    # One cell without values for each column, so that a column of an empty input has its row, too.
+    names = [name for name in long.columns if name not in ("column", "_row")]
+    kinds = dict(long.dtypes)
+    blank = df.sparkSession.createDataFrame([(c,) for c in cells], "column string")
+    long = long.unionByName(blank.select("column", F.lit(False).alias("_row"), *[F.lit(None).cast(kinds[n]).alias(n) for n in names]))
+    rows = long.groupBy("column").agg(F.count_if(F.col("_row")).alias("n_total"), *[agg.alias(s) for s, agg in stats.items()])
     if sketches:
-        quantile_rows = _wide_then_rows(df, sketches, 8, total=False)
+        quantile_rows = long.groupBy("column").agg(*[agg.alias(s) for s, agg in sketches.items()])
         rows = rows.join(F.broadcast(quantile_rows), "column")  # one row per profiled column
     return rows
 
@@ -68,13 +57,10 @@ def most_frequent(counts: DataFrame, n: int, by: Sequence[str] = ("column",)) ->
 def examples(df: DataFrame, cols: Sequence[str], key: Sequence[str], n: int = 3) -> DataFrame:
     """The first ``n`` non-blank values of each column in key order: (column, value).
 
-    Each column is a bounded top-n over two pruned columns, so nothing is sorted in full.
+    One scan for all columns. Each task keeps n rows per column before the shuffle.
     """
-    def first(c: str) -> DataFrame:
-        rows = df.where(~is_blank(F.col(c)))
-        text = F.trim(F.col(c).cast("string"))
-        top = rows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], text.alias("value"))
-        top = top.orderBy(*[f"_k{i}" for i in range(len(key))], "value").limit(n)
-        return top.select(F.lit(c).alias("column"), "value")
-
-    return reduce(DataFrame.unionByName, [first(c) for c in cols])
+    places = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.trim(F.col(c).cast("string")).alias("value")) for c in cols])
+    rows = df.select(*places, F.inline(cells)).where("value <> ''")
+    order = Window.partitionBy("column").orderBy(*[f"_k{i}" for i in range(len(key))], "value")
+    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).select("column", "value")

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.functions.draw import unit_draw
 from tabwright.operators import caps, features, impute, outliers, profile, rank, sample, shape, stats
 
 
@@ -102,12 +103,25 @@ def test_value_counts_partition_the_rows(spark):
     assert {r["s"] for r in counts.groupBy("column").agg(F.sum("n").alias("s")).collect()} == {3}
 
 
-def test_chunked_passes_equal_one_pass(spark):
+def test_columns_are_aggregated_in_one_pass(spark):
     df = spark.range(100).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(1, 8)])
-    wanted = {f"c{i}": {"total": F.sum(f"c{i}")} for i in range(1, 8)}
-    assert rows(shape.per_column(df, wanted, chunk=2), "column") == rows(shape.per_column(df, wanted, chunk=40), "column")
+    cells = {f"c{i}": {"x": F.col(f"c{i}")} for i in range(1, 8)}
+    found = shape.per_column(df, cells, {"total": F.sum("x")}, {"middle": F.max("x")})
+    assert rows(found, "column") == [(f"c{i}", 100, 4950 * i, 99 * i) for i in range(1, 8)]
+    assert rows(shape.per_column(df.limit(0), cells, {"n": F.count("x")}), "column") == [(f"c{i}", 0, 0) for i in range(1, 8)]
     with pytest.raises(ValueError):
-        shape.per_column(df, {})
+        shape.per_column(df, {}, {})
+
+
+def test_rows_without_a_stratum_are_sampled_too(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("s"))
+    assert sample.stratified_sample(df, F.col("s"), ["id"], 10**6).count() == 100
+    assert sample.stratified_sample(df, F.col("s"), ["id"], 20, min_rows=5).where("s IS NULL").count() > 0
+
+
+def test_keys_with_nulls_and_bars_draw_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a|b", "c"), ("a", "b|c"), ("\\0", "a")], "a string, b string")
+    assert df.select(unit_draw(["a", "b"], 1)).distinct().count() == 5
 
 
 def test_numeric_profile_of_a_constant(spark):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.operators import caps, impute, profile, rank, sample, shape, stats
+from tabwright.operators import caps, impute, outliers, profile, rank, sample, shape, stats
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -24,10 +24,19 @@ def test_statistics_read_only_their_columns(lineitem):
     assert found.count("Exchange hashpartitioning") == 1 and "partial_percentile_approx" in found
 
 
-def test_profiles_shuffle_no_rows(lineitem):
-    for df in (profile.numeric_profile(lineitem, ["l_quantity", "l_tax"]), profile.null_profile(lineitem)):
+def test_profiles_read_once_and_send_a_row_per_column(lineitem):
+    wide = lineitem.select("*", *[(F.col("l_tax") * i).alias(f"x{i}") for i in range(60)])
+    numbers = [f"x{i}" for i in range(60)]
+    for df, scans in ((profile.null_profile(wide), 1), (profile.numeric_profile(wide, numbers), 2), (profile.target_correlation(wide, "l_tax"), 1),
+                      (profile.mistyped_profile(wide, numbers), 1), (shape.examples(wide, numbers, ["l_orderkey"]), 1)):
         found = plan(df)
-        assert "hashpartitioning" not in found and "rangepartitioning" not in found
+        assert found.count("Scan parquet") == scans
+        assert found.count("hashpartitioning(column") <= scans and "partial_" in found or "WindowGroupLimit" in found
+
+
+def test_outliers_are_summed_without_a_sort(lineitem):
+    found = outliers.segment_outliers(lineitem, "l_extendedprice", ["l_returnflag"])
+    assert "rangepartitioning" not in plan(outliers.summarize_outliers(found, "l_extendedprice", ["l_returnflag"])).split("HashAggregate")[-1]
 
 
 def test_value_counts_shuffle_once_for_all_columns(lineitem):
@@ -39,7 +48,7 @@ def test_rankings_keep_k_rows_before_the_shuffle(lineitem):
     found = plan(shape.most_frequent(shape.value_counts(lineitem, ["l_partkey", "l_suppkey"]), 5))
     assert "WindowGroupLimit" in found and "Partial" in found
     assert "TakeOrderedAndProject" in plan(rank.top_extremes(lineitem, "l_tax", n=3))
-    assert "TakeOrderedAndProject" in plan(shape.examples(lineitem, ["l_returnflag"], ["l_orderkey"]))
+    assert "WindowGroupLimit" in plan(shape.examples(lineitem, ["l_returnflag"], ["l_orderkey"]))
 
 
 def test_fitted_tables_join_without_shuffling_the_rows(lineitem):
