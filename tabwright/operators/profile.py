@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ from tabwright.functions.predicates import (
     is_zero,
     numeric_columns,
     present,
+    string_columns,
 )
 from tabwright.operators.shape import most_frequent, per_column, value_counts
 from tabwright.operators.stats import segment_stats
@@ -42,7 +43,7 @@ from tabwright.sources.staging import stage
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing count and share of every column."""
-    rows = per_column(df, {f.name: {"missing": is_missing(f)} for f in df.schema}, {"n_missing": tally(F.col("missing"))})
+    rows = per_column(df, {f.name: is_missing(f) for f in df.schema}, {"n_missing": tally(F.col("x"))})
     return rows.withColumn("missing_pct", percent(F.col("n_missing"), F.col("n_total")))
 
 
@@ -50,8 +51,8 @@ def target_correlation(df: DataFrame, target: str, exclude: Sequence[str] = ())
     """Correlation of every numeric column with the target, strongest first."""
     cols = numeric_columns(df, [target, *exclude])
     rows = per_column(df.where(F.col(target).isNotNull()),
-                      {c: {"x": F.col(c).cast("double"), "y": F.col(target).cast("double")} for c in cols},
-                      {"corr": pearson(F.col("x"), F.col("y"))})
+                      {c: F.col(c).cast("double") for c in cols}, {"corr": pearson(F.col("x"), F.col("_y"))},
+                      beside={"_y": F.col(target).cast("double")})
     rows = rows.withColumn("strength", labels.correlation_strength(F.col("corr")))
     return rows.drop("n_total").orderBy(F.abs("corr").desc_nulls_last(), "column")
 
@@ -63,7 +64,7 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, exclude: S
     """Moments, median and zeros of each numeric column, with five recommendations."""
     cols = numeric_columns(df, exclude) if cols is None else present(df, cols)
     x = F.col("x")
-    rows = per_column(df, {c: {"x": F.col(c).cast("double")} for c in cols}, {
+    rows = per_column(df, {c: F.col(c).cast("double") for c in cols}, {
         "n": F.count(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "stddev": F.stddev(x),
         "skew": F.skewness(x), "kurt": F.kurtosis(x), "zeros": tally(x == 0),
     }, {"median": quantile(x, 0.5, accuracy)})
@@ -153,7 +154,7 @@ def boolean_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     flags = boolean_columns(df)
     cols = flags if cols is None else [c for c in cols if c in flags]
     x = F.col("x")
-    rows = per_column(df, {c: {"x": F.col(c)} for c in cols}, {
+    rows = per_column(df, {c: F.col(c) for c in cols}, {
         "nulls": F.count_if(F.col("_row") & x.isNull()), "trues": tally(x), "falses": tally(~x)})
     return rows.withColumns({
         f"{one}_pct": percent(F.col(many), F.col("n_total"))
@@ -172,7 +173,7 @@ def flag_columns(df: DataFrame, prefix: str = "has_") -> list[str]:
 
 
 def flag_frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    rows = per_column(df, {c: {"set": F.col(c) == 1} for c in cols}, {"n_set": tally(F.col("set"))})
+    rows = per_column(df, {c: F.col(c) == 1 for c in cols}, {"n_set": tally(F.col("x"))})
     return rows.withColumn("set_pct", percent(F.col("n_set"), F.col("n_total")))
 
 
@@ -189,10 +190,12 @@ def group_health(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     flags, numbers = set(boolean_columns(df)), set(numeric_columns(df))
     member = {c: g for g, cols in groups.items() for c in present(df, cols)}
-    rows = per_column(df, {
-        c: {"null": F.col(c).isNull(), "zero": ~F.col(c) if c in flags else F.col(c) == 0 if c in numbers else is_zero(F.col(c))}
-        for c in member
-    }, {"nulls": tally(F.col("null")), "zeros": tally(F.col("zero"))})
+    def kind(c: str) -> Column:
+        zero = ~F.col(c) if c in flags else F.col(c) == 0 if c in numbers else is_zero(F.col(c))
+        return F.when(F.col(c).isNull(), F.when(F.coalesce(zero, F.lit(False)), 3).otherwise(1)).when(zero, 2).otherwise(0)
+
+    x = F.col("x")
+    rows = per_column(df, {c: kind(c) for c in member}, {"nulls": tally(x % 2 == 1), "zeros": tally(x >= 2)})
     names = F.create_map(*[F.lit(v) for c, g in member.items() for v in (c, g)])
     types = F.create_map(*[F.lit(v) for c in member for v in (c, kinds[c])])
     rows = rows.withColumns({
@@ -211,10 +214,10 @@ def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACC
     """Blank and null counts and the length of the trimmed text of each column."""
     cols = present(df, cols)
     # Only lengths go on, so that the text itself is trimmed once and then forgotten.
-    real, size = F.col("_row"), F.when(F.col("size") > 0, F.col("size"))
-    rows = per_column(df, {c: {"size": F.length(F.trim(F.col(c).cast("string")))} for c in cols}, {
+    real, size = F.col("_row"), F.when(F.col("x") > 0, F.col("x"))
+    rows = per_column(df, {c: F.length(F.trim(F.col(c).cast("string"))) for c in cols}, {
         "blanks": F.count_if(real & size.isNull()),
-        "nulls": F.count_if(real & F.col("size").isNull()),
+        "nulls": F.count_if(real & F.col("x").isNull()),
         "min_length": F.coalesce(F.min(size), F.lit(0)),
         "mean_length": F.coalesce(F.avg(size), F.lit(0.0)),
         "max_length": F.coalesce(F.max(size), F.lit(0)),
@@ -232,9 +235,9 @@ def mistyped_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cells = {}
     for c in present(df, cols):
         text = F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
-        cells[c] = {"blank": text == "", "numbered": F.regexp_extract(text, SIGNED_NUMBER, 1) != ""}
-    blank, numbered = F.col("blank"), F.col("numbered")
-    rows = per_column(df, cells, {"blanks": tally(blank), "with_number": tally(numbered), "without_number": tally(~blank & ~numbered)})
+        cells[c] = F.when(text == "", 0).when(F.regexp_extract(text, SIGNED_NUMBER, 1) != "", 1).otherwise(2)
+    x = F.col("x")
+    rows = per_column(df, cells, {"blanks": tally(x == 0), "with_number": tally(x == 1), "without_number": tally(x == 2)})
     rows = rows.withColumns({
         f"{s}_pct": percent(F.col(s), F.col("n_total")) for s in ("blanks", "with_number", "without_number")
     })
@@ -270,6 +273,16 @@ def identifier_profile(df: DataFrame, cols: Sequence[str], counts: DataFrame | N
     }).withColumn("action", labels.identifier_action(F.col("unique_pct")))
 
 
+def column_status(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    """(column, status) of the columns a profile was asked for: ``profiled``, ``absent``, or ``not_<kind>``.
+
+    ``kind`` is boolean, numeric or string. Profiles leave the last two out; this tells which they were.
+    """
+    fitting = {"boolean": boolean_columns, "numeric": numeric_columns, "string": string_columns}[kind](df)
+    rows = [(c, "profiled" if c in fitting else f"not_{kind}" if c in df.columns else "absent") for c in dict.fromkeys(cols)]
+    return df.sparkSession.createDataFrame(rows, "column string, status string")
+
+
 def redundant_pairs_by_name(cols: Sequence[str]) -> list[tuple[str, str]]:
     """Pairs of names that share a word between underscores, ignoring case."""
     words = {c: {w.strip() for w in c.lower().split("_")} - {""} for c in cols}
@@ -424,5 +437,5 @@ def dataset_summary(df: DataFrame, target: str, accuracy: int = DEFAULT_ACCURACY
 
 
 def staged_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Value counts written once, for several reports over the same columns."""
-    return stage(value_counts(df, present(df, cols)))
+    """Value counts written once, each column by itself, for several reports that read some of them."""
+    return stage(value_counts(df, present(df, cols)), by=["column"])

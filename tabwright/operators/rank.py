@@ -35,10 +35,10 @@ def top_categories(df: DataFrame, category: str, n: int) -> DataFrame:
 def in_top_categories(df: DataFrame, category: str, n: int, counted: DataFrame | None = None) -> DataFrame:
     """Rows of the ``n`` commonest categories; rows without a category drop out.
 
-    The right side holds at most ``n`` rows, which bounds the broadcast.
+    Catalyst knows that the right side holds at most ``n`` rows, and broadcasts it where that is few.
     """
     top = top_categories(df if counted is None else counted, category, n).select(category)
-    return df.join(F.broadcast(top), category, "left_semi")
+    return df.join(top, category, "left_semi")
 
 
 def top_category_stats(df: DataFrame, category: str, col: str, n: int = 20,

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def per_column(df: DataFrame, cells: dict[str, dict[str, Column]], stats: dict[str, Column],
-               sketches: dict[str, Column] | None = None) -> DataFrame:
+def per_column(df: DataFrame, cells: dict[str, Column], stats: dict[str, Column], sketches: dict[str, Column] | None = None,
+               beside: dict[str, Column] | None = None) -> DataFrame:
     """One row per column of aggregates, with the number of rows as ``n_total``.
 
-    ``cells`` maps a column to named values taken from each row; all columns use the same names and
-    types. ``stats`` are aggregates over these names, such as ``{"n": F.count("x")}``. The input is
-    read once for any number of columns: its cells become rows, and one hash aggregate keyed by
+    ``cells`` maps a column to a value taken from each row, of one type for all columns; ``stats`` are
+    aggregates over that value, ``x``, and over the values ``beside`` it, which all columns share. The input
+    is read once for any number of columns: its cells become rows, and one hash aggregate keyed by
     column reduces them before the shuffle, so each task sends one row per column. Generated
     code stays small however wide the table is.
 
@@ -23,14 +23,14 @@ def per_column(df: DataFrame, cells: dict[str, dict[str, Column]], stats: dict[s
     """
     if not cells:
         raise ValueError("no column to aggregate")
-    structs = [F.struct(F.lit(c).alias("column"), F.lit(True).alias("_row"), *[value.alias(name) for name, value in named.items()])
-               for c, named in cells.items()]
-    long = df.select(F.inline(F.array(*structs)))
-    # One cell without values for each column, so that a column of an empty input has its row, too.
-    names = [name for name in long.columns if name not in ("column", "_row")]
+    shared = {"_row": F.lit(True)} | (beside or {})
+    wide = df.select(*[value.alias(name) for name, value in shared.items()], *[value.alias(c) for c, value in cells.items()])
+    long = wide.unpivot(list(shared), list(cells), "column", "x")
+    # One cell without a value for each column, so that a column of an empty input has its row, too.
     kinds = dict(long.dtypes)
-    blank = df.sparkSession.createDataFrame([(c,) for c in cells], "column string")
-    long = long.unionByName(blank.select("column", F.lit(False).alias("_row"), *[F.lit(None).cast(kinds[n]).alias(n) for n in names]))
+    blank = df.sparkSession.createDataFrame([(c, False) for c in cells], "column string, _row boolean")
+    blanks = blank.select(*[c if c in ("column", "_row") else F.lit(None).cast(kinds[c]).alias(c) for c in long.columns])
+    long = long.unionByName(blanks)
     rows = long.groupBy("column").agg(F.count_if(F.col("_row")).alias("n_total"), *[agg.alias(s) for s, agg in stats.items()])
     if sketches:
         quantile_rows = long.groupBy("column").agg(*[agg.alias(s) for s, agg in sketches.items()])
@@ -59,8 +59,8 @@ def examples(df: DataFrame, cols: Sequence[str], key: Sequence[str], n: int = 3)
 
     One scan for all columns. Each task keeps n rows per column before the shuffle.
     """
-    places = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.trim(F.col(c).cast("string")).alias("value")) for c in cols])
-    rows = df.select(*places, F.inline(cells)).where("value <> ''")
-    order = Window.partitionBy("column").orderBy(*[f"_k{i}" for i in range(len(key))], "value")
+    places = [f"_k{i}" for i in range(len(key))]
+    wide = df.select(*[F.col(k).alias(p) for k, p in zip(key, places)], *[F.trim(F.col(c).cast("string")).alias(c) for c in cols])
+    rows = wide.unpivot(places, list(cols), "column", "value").where("value <> ''")
+    order = Window.partitionBy("column").orderBy(*places, "value")
     return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).select("column", "value")

@@ -15,10 +15,10 @@ from tabwright.plans import vehicles as v
 
 
 def profile_listings(df: DataFrame, key: Sequence[str] = ("vin",), accuracy: int = DEFAULT_ACCURACY) -> dict[str, DataFrame]:
-    """Every report of the exploration, lazily, by name.
+    """Every report of the exploration, by name.
 
-    Value counts of all text columns are computed once and shared. Persist ``df`` first
-    (``files.keep``) if its source is slow to read.
+    Value counts of all text columns and the fences of outliers are computed and written when this is called; the
+    reports themselves when they are read. Persist ``df`` first (``files.keep``) if its source is slow to read.
     """
     price, a = v.TARGET, accuracy
     categories = present(df, dict.fromkeys([*v.CATEGORIES, *v.FREQUENCY_CATEGORIES]))

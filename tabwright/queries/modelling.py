@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,6 +87,14 @@ def boosted_trees(t: Tables):
     return _halves(t, "boosted")
 
 
+@query(_HALVES)
+def reloaded_model(t: Tables):
+    """A fitted pipeline, saved, loaded and applied."""
+    lines, path = _lines(t).withColumn("many", (F.col("l_quantity") > 25).cast("double")), t.new_path()
+    _small(numbers=["many"])["boosted"].pipeline.fit(lines).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(lines).select(*KEY, F.round("prediction", 6).alias("prediction"))
+
+
 @query(_HALVES)
 def random_forest(t: Tables):
     """One tree of depth one, without bootstrap, on a 0/1 column predicts the mean of each half."""
@@ -185,7 +193,7 @@ def overfit_labels(t: Tables):
        "SELECT make_name, count(*) AS n, count(*) AS n_scored FROM prepared WHERE log_price IS NOT NULL GROUP BY make_name")
 def scored_rows(t: Tables):
     """Every labelled row gets a prediction, whatever inputs it lacks."""
-    prepared = features.boolean_as_double(modelling.usable_rows(prepare(t.spread_listings, accuracy=ACCURACY, keep=["vin"])), v.MODEL_BOOLEANS)
+    prepared = features.boolean_as_double(modelling.usable_rows(prepare(t.listings, accuracy=ACCURACY, keep=["vin"])), v.MODEL_BOOLEANS)
     categories, others = modelling.model_columns(prepared)
     made = pipelines.candidates(categories, others, v.LABEL, validation=None, with_mean=False, linear={"maxIter": 5}, filled=others,
                                 flagged=pipelines.open_columns(prepared, others))
@@ -200,7 +208,7 @@ def model_selection(t: Tables):
 
     Grids and ensembles are the registered query's own parameters; the library's defaults are larger.
     """
-    prepared = modelling.usable_rows(prepare(t.spread_listings, keep=["vin"]))
+    prepared = modelling.usable_rows(prepare(t.listings, keep=["vin"]))
     train, test = modelling.modelling_split(t.spark, prepared, t.new_path(), t.new_path(), ["vin"], target=20_000, min_rows=50)
     models = modelling.train_candidates(
         train, ["vin"], rounds=2, parallelism=4,

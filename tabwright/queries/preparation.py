@@ -8,7 +8,7 @@ from tabwright.functions.draw import unit_draw
 from tabwright.functions.geo import haversine_miles
 from tabwright.operators import caps, features, impute, rank, sample, stats
 from tabwright.plans import vehicles as v
-from tabwright.plans.prepare import prepare, prepare_split
+from tabwright.plans.prepare import load_or_prepare, prepare, prepare_split
 from tabwright.queries.registry import query, rnd, union
 from tabwright.queries.statistics import draw_sql, segment_sql
 from tabwright.queries.tables import ACCURACY, LISTING_COLUMNS, Tables
@@ -296,7 +296,19 @@ def stratified_listings(t: Tables):
     return found.select("vin")
 
 
-@query(f"SELECT o_orderkey, CASE WHEN {draw_sql('o_orderkey', 42)} < 8e-1 THEN 'train' ELSE 'test' END AS side FROM orders")
+_SIDES = f"SELECT o_orderkey, CASE WHEN {draw_sql('o_orderkey', 42)} < 8e-1 THEN 'train' ELSE 'test' END AS side FROM orders"
+
+
+@query(_SIDES)
+def written_split(t: Tables):
+    """Both sides written once and then read; the second call has no input to split."""
+    paths = t.new_path(), t.new_path()
+    sample.split_or_load(t.spark, t.orders.select("o_orderkey"), *paths, ["o_orderkey"])
+    train, test = sample.split_or_load(t.spark, t.orders.select("o_orderkey").limit(0), *paths, ["o_orderkey"])
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@query(_SIDES)
 def hash_split(t: Tables):
     train, test = sample.split(t.orders, ["o_orderkey"])
     sides = [df.select("o_orderkey", F.lit(name).alias("side")) for df, name in ((train, "train"), (test, "test"))]
@@ -366,13 +378,26 @@ WHERE NOT coalesce(year < 1980, FALSE)"""
 
 @query(f", {THRESHOLDS}, {USAGE_CAP}, {DAYS_CAP}, {_CLEANED} {_PREPARED}")
 def prepare_listings(t: Tables):
-    found = prepare(t.spread_listings, accuracy=ACCURACY, keep=["vin"])
+    found = prepare(t.listings, accuracy=ACCURACY, keep=["vin"])
     return found.withColumns({c: F.round(c, 6) for c in ("power_density", "log_price")})
 
 
+@query(f", {THRESHOLDS}, {USAGE_CAP}, {DAYS_CAP}, {_CLEANED}, prepared AS ({_PREPARED}) "
+       "SELECT trim(coalesce(make_name, '')) AS make, count(*) AS n FROM prepared GROUP BY make")
+def cached_listings(t: Tables):
+    """Listings from CSV, prepared on the first call and read on the second, which has no input left."""
+    raw, copy, final = t.new_path(), t.new_path(), t.new_path()
+    listings = t.listings
+    listings.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(raw)
+    load_or_prepare(t.spark, raw, copy, final, schema=listings.schema)
+    again = load_or_prepare(t.spark, f"{raw}-absent", f"{copy}-absent", final)
+    make = F.trim(F.coalesce("make_name", F.lit(""))).alias("make")  # CSV does not tell blanks from nulls
+    return again.groupBy(make).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query()
 def prepare_without_leakage(t: Tables):
-    train, test = sample.split(t.spread_listings, ["vin"])
+    train, test = sample.split(t.listings, ["vin"])
     sides = prepare_split(train, test, accuracy=ACCURACY, keep=["vin"])
     train, test = (df.withColumn("side", F.lit(name)) for df, name in zip(sides, ("train", "test")))
     return train.unionByName(test)

@@ -341,6 +341,12 @@ def identifier_profile_orders(t: Tables):
     return stats.round_doubles(profile.identifier_profile(t.orders, ("o_orderkey", "o_custkey", "o_orderstatus")), 6)
 
 
+@query("""SELECT unnest(['is_new', 'price', 'nowhere']) AS "column", unnest(['profiled', 'not_boolean', 'absent']) AS status""")
+def column_status(t: Tables):
+    """What a profile leaves out, and why."""
+    return profile.column_status(t.listings, ["is_new", "price", "nowhere"], "boolean")
+
+
 _STRINGS = [c for c, kind in KINDS.items() if kind == "string"]
 _PAIRS = profile.redundant_pairs_by_name(_STRINGS)
 

@@ -162,8 +162,3 @@ class Tables:
     @property
     def listings(self) -> DataFrame:
         return _derive(self.lineitem)
-
-    @property
-    def spread_listings(self) -> DataFrame:
-        """The same rows for jobs with much work per row, dealt out by key."""
-        return _derive(self.lineitem.repartition("l_orderkey", "l_linenumber"))

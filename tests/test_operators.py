@@ -105,7 +105,7 @@ def test_value_counts_partition_the_rows(spark):
 
 def test_columns_are_aggregated_in_one_pass(spark):
     df = spark.range(100).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(1, 8)])
-    cells = {f"c{i}": {"x": F.col(f"c{i}")} for i in range(1, 8)}
+    cells = {f"c{i}": F.col(f"c{i}") for i in range(1, 8)}
     found = shape.per_column(df, cells, {"total": F.sum("x")}, {"middle": F.max("x")})
     assert rows(found, "column") == [(f"c{i}", 100, 4950 * i, 99 * i) for i in range(1, 8)]
     assert rows(shape.per_column(df.limit(0), cells, {"n": F.count("x")}), "column") == [(f"c{i}", 0, 0) for i in range(1, 8)]
