@@ -45,7 +45,7 @@ def add_geography(df: DataFrame, centres: Sequence[tuple[float, float]], lat: st
 # --- value flags -----------------------------------------------------------------------
 
 def fit_price_thresholds(df: DataFrame, price: str = "price", floor: float = 4000,
-                         accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                         accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """The 90th and 95th percentiles of prices above the floor, as one row."""
     return fit_quantiles(df, price, [0.90, 0.95], F.col(price) > floor, accuracy)
 

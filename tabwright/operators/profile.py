@@ -19,7 +19,6 @@ from tabwright.functions.numeric import (
     finite,
     pearson,
     percent,
-    quantile,
     tally,
 )
 from tabwright.functions.predicates import (
@@ -34,6 +33,7 @@ from tabwright.functions.predicates import (
     present,
     string_columns,
 )
+from tabwright.operators.quantile import aggregate
 from tabwright.operators.shape import most_frequent, per_column, value_counts
 from tabwright.operators.stats import segment_stats
 from tabwright.sources.staging import stage
@@ -60,14 +60,14 @@ def target_correlation(df: DataFrame, target: str, exclude: Sequence[str] = ())
 # --- numeric ---------------------------------------------------------------------------
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, exclude: Sequence[str] = (),
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Moments, median and zeros of each numeric column, with five recommendations."""
     cols = numeric_columns(df, exclude) if cols is None else present(df, cols)
     x = F.col("x")
     rows = per_column(df, {c: F.col(c).cast("double") for c in cols}, {
         "n": F.count(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "stddev": F.stddev(x),
         "skew": F.skewness(x), "kurt": F.kurtosis(x), "zeros": tally(x == 0),
-    }, {"median": quantile(x, 0.5, accuracy)})
+    }, {"median": x}, accuracy=accuracy)
     rows = rows.withColumns({s: finite(F.col(s)) for s in ("min", "max", "mean", "median", "stddev", "skew", "kurt")})
     return rows.withColumns({
         "null_pct": percent(F.col("n_total") - F.col("n"), F.col("n_total")),
@@ -178,7 +178,7 @@ def flag_frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def flag_impact(df: DataFrame, flags: Sequence[str], target: str, min_group_size: int = 30,
-                positive_only: bool = True, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                positive_only: bool = True, accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Segment statistics of the target for each level of each flag, in one pass."""
     levels = df.select(target, *[F.col(c).cast("int").alias(c) for c in flags])
     levels = levels.unpivot([target], list(flags), "flag", "level")
@@ -210,7 +210,7 @@ def group_health(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
 
 # --- text ------------------------------------------------------------------------------
 
-def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Blank and null counts and the length of the trimmed text of each column."""
     cols = present(df, cols)
     # Only lengths go on, so that the text itself is trimmed once and then forgotten.
@@ -221,7 +221,8 @@ def text_profile(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACC
         "min_length": F.coalesce(F.min(size), F.lit(0)),
         "mean_length": F.coalesce(F.avg(size), F.lit(0.0)),
         "max_length": F.coalesce(F.max(size), F.lit(0)),
-    }, {"median_length": F.coalesce(quantile(size, 0.5, accuracy), F.lit(0))})
+    }, {"median_length": size}, accuracy=accuracy)
+    rows = rows.withColumn("median_length", F.coalesce("median_length", F.lit(0)))
     low, high, mean = F.col("min_length"), F.col("max_length"), F.col("mean_length")
     return rows.withColumn("blank_pct", percent(F.col("blanks"), F.col("n_total"))).withColumns({
         "imputation": labels.text_imputation(F.col("blank_pct")),
@@ -409,18 +410,19 @@ def temporal_examples(df: DataFrame, key: Sequence[str], date: str = "listed_dat
 
 # --- whole table -----------------------------------------------------------------------
 
-def dataset_summary(df: DataFrame, target: str, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def dataset_summary(df: DataFrame, target: str, accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """(section, item, value) rows: size, types, missing columns, target shape, roles."""
     missing = null_profile(df)
     missing = missing.where(F.col("n_missing") > 0).select(
         F.lit("missing").alias("section"), F.col("column").alias("item"), F.col("n_missing").cast("double").alias("value"))
     x = F.col(target).cast("double")
     shape = {"rows": F.count(F.lit(1)).cast("double"), "min": F.min(x), "max": F.max(x), "mean": F.avg(x),
-             "median": quantile(x, 0.5, accuracy), "skew": F.skewness(x)}
-    wide = df.agg(*[agg.alias(name) for name, agg in shape.items()])
+             "skew": F.skewness(x)}
+    wide = aggregate(df, [], [agg.alias(name) for name, agg in shape.items()], {"median": (x, (0.5,))}, accuracy)
+    wide = wide.withColumn("median", F.col("median")[0])
     measured = wide.select(F.inline(F.array(*[
         F.struct(F.lit("size" if name == "rows" else "target").alias("section"), F.lit(name).alias("item"),
-                 F.col(name).alias("value")) for name in shape
+                 F.col(name).alias("value")) for name in (*shape, "median")
     ])))
     kinds: dict[str, int] = {}
     for f in df.schema:

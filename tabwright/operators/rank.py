@@ -42,7 +42,7 @@ def in_top_categories(df: DataFrame, category: str, n: int, counted: DataFrame |
 
 
 def top_category_stats(df: DataFrame, category: str, col: str, n: int = 20,
-                       accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                       accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Segment statistics of the ``n`` commonest categories, highest median first."""
     stats = segment_stats(in_top_categories(df, category, n), col, [category], min_group_size=1, prefix=col,
                           accuracy=accuracy)

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.functions.numeric import DEFAULT_ACCURACY
+from tabwright.operators.quantile import aggregate
 
-def per_column(df: DataFrame, cells: dict[str, Column], stats: dict[str, Column], sketches: dict[str, Column] | None = None,
-               beside: dict[str, Column] | None = None) -> DataFrame:
+
+def per_column(df: DataFrame, cells: dict[str, Column], stats: dict[str, Column], medians: dict[str, Column] | None = None,
+               beside: dict[str, Column] | None = None, accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """One row per column of aggregates, with the number of rows as ``n_total``.
 
     ``cells`` maps a column to a value taken from each row, of one type for all columns; ``stats`` are
@@ -18,7 +21,7 @@ def per_column(df: DataFrame, cells: dict[str, Column], stats: dict[str, Column]
     column reduces them before the shuffle, so each task sends one row per column. Generated
     code stays small however wide the table is.
 
-    Quantiles go in ``sketches`` and take a second pass: they use object buffers, for which
+    ``medians`` (name: value) take a second pass: sketches use object buffers, for which
     Spark generates no fused loop, so mixing them in would slow all other aggregates down.
     """
     if not cells:
@@ -32,9 +35,10 @@ def per_column(df: DataFrame, cells: dict[str, Column], stats: dict[str, Column]
     blanks = blank.select(*[c if c in ("column", "_row") else F.lit(None).cast(kinds[c]).alias(c) for c in long.columns])
     long = long.unionByName(blanks)
     rows = long.groupBy("column").agg(F.count_if(F.col("_row")).alias("n_total"), *[agg.alias(s) for s, agg in stats.items()])
-    if sketches:
-        quantile_rows = long.groupBy("column").agg(*[agg.alias(s) for s, agg in sketches.items()])
-        rows = rows.join(F.broadcast(quantile_rows), "column")  # one row per profiled column
+    if medians:
+        middle = aggregate(long, ["column"], [], {s: (value, (0.5,)) for s, value in medians.items()}, accuracy)
+        middle = middle.select("column", *[F.col(s)[0].alias(s) for s in medians])
+        rows = rows.join(F.broadcast(middle), "column")  # one row per profiled column
     return rows
 
 

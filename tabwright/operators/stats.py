@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.numeric import DEFAULT_ACCURACY, pearson, quantile, quantiles
+from tabwright.functions.numeric import DEFAULT_ACCURACY, pearson
 from tabwright.functions.predicates import present, valid_rows
+from tabwright.operators.quantile import aggregate
 
 PERCENTILES = (0.01, 0.05, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
@@ -24,24 +25,25 @@ def round_doubles(df: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def global_stats(df: DataFrame, col: str, positive_only: bool = False, prefix: str = "",
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     s = _suffix(prefix)
-    return valid_rows(df, col, positive_only).agg(
+    found = aggregate(valid_rows(df, col, positive_only), [], [
         F.count(F.lit(1)).alias(f"n{s}"),
         F.min(col).alias(f"min{s}"),
         F.max(col).alias(f"max{s}"),
         F.avg(col).alias(f"mean{s}"),
-        quantile(col, 0.5, accuracy).alias(f"median{s}"),
         F.stddev(col).alias(f"std{s}"),
         F.skewness(col).alias(f"skew{s}"),
         F.kurtosis(col).alias(f"kurt{s}"),
-    )
+    ], {"_q": (col, (0.5,))}, accuracy)
+    return found.select(*[f"{c}{s}" for c in ("n", "min", "max", "mean")], F.col("_q")[0].alias(f"median{s}"),
+                        *[f"{c}{s}" for c in ("std", "skew", "kurt")])
 
 
 def percentile_table(df: DataFrame, col: str, positive_only: bool = False, prefix: str = "",
-                     probs: Sequence[float] = PERCENTILES, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     probs: Sequence[float] = PERCENTILES, accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """One row per requested percentile."""
-    wide = valid_rows(df, col, positive_only).agg(quantiles(col, probs, accuracy).alias("q"))
+    wide = aggregate(valid_rows(df, col, positive_only), [], [], {"q": (col, probs)}, accuracy)
     rows = [F.struct(F.lit(float(p)).alias("percentile"), F.col("q")[i].alias(f"value_{prefix or col}"))
             for i, p in enumerate(probs)]
     return wide.select(F.inline(F.array(*rows)))
@@ -68,15 +70,15 @@ def iqr_bounds(df: DataFrame, q1: str = "q1", q3: str = "q3") -> DataFrame:
     return df.withColumns(fences)
 
 
-def global_iqr(df: DataFrame, col: str, positive_only: bool = False, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def global_iqr(df: DataFrame, col: str, positive_only: bool = False, accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     q = F.col("q")
-    wide = valid_rows(df, col, positive_only).agg(quantiles(col, (0.25, 0.5, 0.75), accuracy).alias("q"))
+    wide = aggregate(valid_rows(df, col, positive_only), [], [], {"q": (col, (0.25, 0.5, 0.75))}, accuracy)
     return iqr_bounds(wide.select(q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")))
 
 
 def segment_stats(df: DataFrame, col: str, segments: Sequence[str], positive_only: bool = False,
                   min_group_size: int = 30, prefix: str = "", digits: int = 2,
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                  accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Distribution of ``col`` in each segment of at least ``min_group_size`` rows.
 
     The five quantiles share one sketch per group. Sketches and moments are combined before
@@ -84,15 +86,14 @@ def segment_stats(df: DataFrame, col: str, segments: Sequence[str], positive_onl
     """
     s, keys = _suffix(prefix), present(df, segments)
     q = F.col("_q")
-    grouped = valid_rows(df, col, positive_only).groupBy(*keys).agg(
+    grouped = aggregate(valid_rows(df, col, positive_only), keys, [
         F.count(F.lit(1)).alias("group_n"),
         F.min(col).alias(f"min{s}"),
-        quantiles(col, (0.25, 0.5, 0.75, 0.95, 0.99), accuracy).alias("_q"),
         F.avg(col).alias(f"mean{s}"),
         F.max(col).alias(f"max{s}"),
         F.stddev(col).alias(f"std{s}"),
         F.skewness(col).alias(f"skew{s}"),
-    ).where(F.col("group_n") >= min_group_size)
+    ], {"_q": (col, (0.25, 0.5, 0.75, 0.95, 0.99))}, accuracy).where(F.col("group_n") >= min_group_size)
     named = grouped.select(
         *keys, "group_n", f"min{s}",
         *[q[i].alias(f"{name}{s}") for i, name in enumerate(("q1", "median", "q3", "p95", "p99"))],
@@ -105,24 +106,22 @@ def segment_stats(df: DataFrame, col: str, segments: Sequence[str], positive_onl
 
 
 def two_variable_stats(df: DataFrame, x: str, y: str, positive_only: bool = True, x_name: str = "",
-                       y_name: str = "", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                       y_name: str = "", accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Correlation of two columns and the ratio ``y / x`` in percent, over complete pairs."""
     a, b = x_name or x, y_name or y
     keep = (F.col(x) > 0) & (F.col(y) > 0) if positive_only else F.col(x).isNotNull() & F.col(y).isNotNull()
     pairs = df.where(keep).withColumn("_ratio", F.round(F.try_divide(F.col(y), F.col(x)) * 100, 2))
 
-    def spread(col: str, names: Sequence[str]) -> list:
-        aggs = (F.avg(col), quantile(col, 0.5, accuracy), F.min(col), F.max(col))
-        return [F.round(agg, 2).alias(name) for agg, name in zip(aggs, names)]
-
-    kinds = ("mean", "median", "min", "max")
-    return pairs.agg(
+    columns = {"_ratio": "ratio_pct_{}", y: "{}_" + b, x: "{}_" + a}
+    kinds = {"mean": F.avg, "median": None, "min": F.min, "max": F.max}
+    found = aggregate(pairs, [], [
         F.count(F.lit(1)).alias("n"),
         F.round(pearson(F.col(x), F.col(y)), 4).alias(f"corr_{a}_{b}"),
-        *spread("_ratio", [f"ratio_pct_{k}" for k in kinds]),
-        *spread(y, [f"{k}_{b}" for k in kinds]),
-        *spread(x, [f"{k}_{a}" for k in kinds]),
-    )
+        *[F.round(agg(c), 2).alias(name.format(kind)) for c, name in columns.items() for kind, agg in kinds.items() if agg],
+    ], {name.format("median"): (c, (0.5,)) for c, name in columns.items()}, accuracy)
+    medians = {name.format("median"): F.round(F.col(name.format("median"))[0], 2) for name in columns.values()}
+    return found.withColumns(medians).select(
+        "n", f"corr_{a}_{b}", *[name.format(kind) for name in columns.values() for kind in kinds])
 
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 4) -> DataFrame:

@@ -14,7 +14,7 @@ from tabwright.operators.shape import examples
 from tabwright.plans import vehicles as v
 
 
-def profile_listings(df: DataFrame, key: Sequence[str] = ("vin",), accuracy: int = DEFAULT_ACCURACY) -> dict[str, DataFrame]:
+def profile_listings(df: DataFrame, key: Sequence[str] = ("vin",), accuracy: int | None = DEFAULT_ACCURACY) -> dict[str, DataFrame]:
     """Every report of the exploration, by name.
 
     Value counts of all text columns and the fences of outliers are computed and written when this is called; the

@@ -112,7 +112,7 @@ def index_order(t: Tables):
     return t.spark.createDataFrame([(label, i) for i, label in enumerate(labels)], "label string, place long")
 
 
-_SIDES = f"(SELECT ln(l_extendedprice) AS y, l_quantity AS x, {draw_sql(KEY_SQL, 42)} AS draw FROM lineitem)"
+_SIDES = f"(SELECT ln(l_extendedprice) AS y, l_quantity AS x, {draw_sql(KEY_SQL, 43)} AS draw FROM lineitem)"
 
 
 @query(f"""

@@ -1,10 +1,12 @@
 """Operators on small frames: null keys, ties, single rows, constants and empty input."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from tabwright.functions.draw import unit_draw
-from tabwright.operators import caps, features, impute, outliers, profile, rank, sample, shape, stats
+from tabwright.operators import caps, features, impute, outliers, profile, quantile, rank, sample, shape, stats
 
 
 def rows(df, *order):
@@ -106,13 +108,26 @@ def test_value_counts_partition_the_rows(spark):
 def test_columns_are_aggregated_in_one_pass(spark):
     df = spark.range(100).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(1, 8)])
     cells = {f"c{i}": F.col(f"c{i}") for i in range(1, 8)}
-    found = shape.per_column(df, cells, {"total": F.sum("x")}, {"middle": F.max("x")})
-    assert rows(found, "column") == [(f"c{i}", 100, 4950 * i, 99 * i) for i in range(1, 8)]
+    found = shape.per_column(df, cells, {"total": F.sum("x")}, {"middle": F.col("x")})
+    assert rows(found, "column") == [(f"c{i}", 100, 4950 * i, 49 * i) for i in range(1, 8)]
     assert rows(shape.per_column(df.limit(0), cells, {"n": F.count("x")}), "column") == [(f"c{i}", 0, 0) for i in range(1, 8)]
     with pytest.raises(ValueError):
         shape.per_column(df, {}, {})
 
 
+def test_exact_quantiles_of_groups(spark):
+    values = [(None if i % 5 == 0 else f"g{i % 2}", float((i * 7919) % 1009), i % 13) for i in range(4000)] + [("one", 2.5, 1), ("none", None, None)]
+    df = spark.createDataFrame(values, "g string, x double, n int")
+    probs = (0.0, 0.01, 0.5, 0.95, 1.0)
+    found = quantile.aggregate(df, ["g"], [F.count("*").alias("c")], {"a": ("x", probs), "b": ("n", (0.5,))}, quantile.EXACT)
+    assert dict(found.dtypes)["b"] == "array<int>"
+    for row in found.collect():
+        known = sorted(x for g, x, _ in values if g == row["g"] and x is not None)
+        assert row["a"] == ([known[max(1, math.ceil(p * len(known))) - 1] for p in probs] if known else None)
+    nothing = quantile.aggregate(df.limit(0), [], [F.count("*").alias("c")], {"a": ("x", probs)}, quantile.EXACT).collect()
+    assert [tuple(r) for r in nothing] == [(0, None)]
+
+
 def test_rows_without_a_stratum_are_sampled_too(spark):
     df = spark.range(100).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("s"))
     assert sample.stratified_sample(df, F.col("s"), ["id"], 10**6).count() == 100
