@@ -18,8 +18,8 @@ a fixed size. It decides the order alone; any order gives the same links.
 
 Lists may be long, and their pairs are not written out. In a round, each list's members are compared
 with one hub; what links becomes one component, and a list whose members are in one component
-is done. The hub is the member whose entries are commonest, which is the one with the fewest
-shingles of its own. After the last round, only pairs that are still in different
+is done. The hub is the member with the fewest rarer shingles, hence with the fewest of its own. Two members
+are a pair only if what follows the shared shingle in their order can still be enough. After the last round, only pairs that are still in different
 components are compared. Every pair is verified on its whole sets.
 
 Words are runs of bytes other than the ASCII blanks, with A-Z lowered. Shingles and sets are held as
@@ -31,6 +31,7 @@ table gives an empty result. Other columns are not read by ``components``.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import BLOCK, documents_of, mix64, stage, text_blocks, utf8
+from tabwright.llm.common import documents_of, mix64, stage, text_blocks, utf8
 from tabwright.llm.components import connected
 
 #: Counters of the table of shingle counts, as a power of two, and per row of it.
@@ -53,6 +54,10 @@ CHUNK_BITS = 14
 HUB_ROUNDS = 3
 #: Sets above this size are heavy at any cost.
 LIGHT_LIMIT = 40
+#: Bytes of text that are hashed at a time, and shingles that are counted at a time.
+BLOCK, COUNTED = 1 << 18, 1 << 20
+#: Up to so many rows of two numbers, the ids whose texts are wanted are sent to all tasks; more are joined by a shuffle.
+SENT_ROWS = 250_000
 
 U = np.uint64
 
@@ -76,7 +81,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 def _word_hashes(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each word of a block and where it begins."""
     value, inside = _bytes()
-    power, back = _powers(max(21, int(len(block)).bit_length()))
+    power, back = _powers(max(19, int(len(block)).bit_length()))
     edge = np.diff(inside[block].view(np.int8), prepend=np.int8(0), append=np.int8(0))
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     sums = np.concatenate([[U(0)], np.cumsum(value[block] * power[: len(block)], dtype=U)])
@@ -94,7 +99,7 @@ def _shingles(hashes: np.ndarray, words: int) -> np.ndarray:
 def sets(data: np.ndarray, bounds: np.ndarray, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each row with its distinct shingles, sorted; rows without words are left out."""
     blank = ~_bytes()[1]
-    for first, last in text_blocks(bounds):
+    for first, last in text_blocks(bounds, BLOCK):
         if last - first > 1 or bounds[last] - bounds[first] <= BLOCK:
             block, starts = documents_of(data, bounds, first, last)
             hashes, at = _word_hashes(block)
@@ -176,14 +181,14 @@ def _counted(batches: Iterator[pa.RecordBatch], words: int, schema: T.StructType
             n[row], key[row] = len(shingles), _key(shingles)
             waiting.append((shingles >> U(64 - COUNTER_BITS)).astype(np.uint32))
             held += len(shingles)
-            if held > 1 << COUNTER_BITS:
-                total += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
+            if held > COUNTED:
+                _count(total, waiting)
                 waiting, held = [], 0
         kind = batch.schema.field("id").type
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(n), pa.array(key), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
     if waiting:
-        total += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
+        _count(total, waiting)
     chunks = [(i, _packed(part)) for i, part in enumerate(total.reshape(-1, 1 << CHUNK_BITS)) if part.any()]
     if chunks:
         m = len(chunks)
@@ -192,6 +197,11 @@ def _counted(batches: Iterator[pa.RecordBatch], words: int, schema: T.StructType
              pa.array([d for _, d in chunks], pa.binary())], names=names)
 
 
+def _count(total: np.ndarray, waiting: list[np.ndarray]) -> None:
+    at, n = np.unique(np.concatenate(waiting), return_counts=True)
+    total[at] += n.astype(np.uint32)
+
+
 def _packed(part: np.ndarray) -> bytes:
     at = np.flatnonzero(part)
     return zlib.compress(np.concatenate([at, part[at]]).astype("<u4").tobytes(), 1) if len(at) < len(part) // 8 else b"d" + zlib.compress(part.tobytes(), 1)
@@ -223,6 +233,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
                threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """One row per document: key, n_shingles, component_id, and the node of its set."""
     num, den = threshold
+    if not 0 < num < den:
+        raise ValueError("the threshold lies between 0 and 1")
     spark = docs.sparkSession
     narrow = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     id_type = narrow.schema["id"].dataType
@@ -246,34 +258,37 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         levels = sent.value
         for batch in batches:
             data, bounds = utf8(batch.column("text"))
-            token, node, size, weight, seen = [], [], [], [], set()
+            token, node, size, place, seen = [], [], [], [], set()
             for _, shingles in sets(data, bounds, words):
                 n, own = len(shingles), _key(shingles)
                 if own in seen:  # a copy in the same batch adds nothing
                     continue
                 seen.add(own)
-                found, heft = [], 0
+                found, at_place = [], []
                 if n < first:
                     found.append(_subsets(shingles, num, den))
+                    at_place.append(np.zeros(len(found[0]), np.int32))
                 if n >= near:
                     level = levels[shingles >> U(64 - COUNTER_BITS)]
                     m = entries(n, num, den)
                     rank = (level.astype(U) << U(56)) | (shingles >> U(8))
                     at = np.argpartition(rank, m - 1)[:m] if m < n else np.arange(n)
-                    heft = int(level[at].sum())
+                    at = at[np.argsort(rank[at])]
                     # No other document holds a shingle that was counted once.
-                    found.append(shingles[at[level[at] > 0]])
-                for part in found:
-                    token.append(part)
-                    node.append(np.full(len(part), own))
-                    size.append(np.full(len(part), n, np.int32))
-                    weight.append(np.full(len(part), heft, np.int32))
+                    shared = np.flatnonzero(level[at] > 0)
+                    found.append(shingles[at[shared]])
+                    at_place.append(shared.astype(np.int32))
+                token += found
+                place += at_place
+                total = sum(map(len, found))
+                node.append(np.full(total, own))
+                size.append(np.full(total, n, np.int32))
             if token:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], node, size, weight)],
-                    names=["token", "node", "n", "weight"])
+                    [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], node, size, place)],
+                    names=["token", "node", "n", "place"])
 
-    postings = narrow.select("text").mapInArrow(enter, "token long, node long, n int, weight int")
+    postings = narrow.select("text").mapInArrow(enter, "token long, node long, n int, place int")
     links = _links(stage(postings), nodes, narrow, words, num, den)
     roots = connected(links)
     best = nodes.join(roots, nodes["node"] == roots["node"]).groupBy("root").agg(F.min("id").alias("smallest"))
@@ -283,15 +298,28 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return out.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "node")
 
 
-def _fits(a: str, b: str, num: int, den: int) -> Column:
-    """Whether sets of these sizes can link at all."""
-    return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
+def _fits(one: str, two: str, num: int, den: int) -> Column:
+    """Whether two sets can link by a shingle they share, if they share none that comes before it.
+
+    All they have in common then lies from its place on, in either set, and has to be enough.
+    """
+    def enough(a: str, b: str) -> Column:
+        return (num + den) * (F.col(f"{a}n") - F.col(f"{a}place")) >= num * (F.col(f"{a}n") + F.col(f"{b}n"))
+
+    return enough(one, two) & enough(two, one)
 
 
 def _links(postings: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect all nodes which the threshold connects."""
-    lists = postings.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stage(postings.join(lists.select("token"), "token").distinct())
+    ends = [F.min("node").alias("low"), F.max("node").alias("high")]
+    lists = postings.groupBy("token").agg(*ends).where("low < high")
+    members = postings.join(lists.select("token"), "token").distinct()
+    # Within a list, only sets of like size can link: it is split in zones, each of two neighbouring bands of sizes.
+    band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
+    members = members.withColumn("zone", F.explode(F.array(band, band + 1)))
+    members = stage(members.select(F.xxhash64("token", "zone").alias("token"), "node", "n", "place"))
+    members = members.join(members.groupBy("token").agg(*ends).where("low < high").select("token"), "token", "left_semi")
+    members = stage(members)
     whole = stage(_sets_of(members.select("node").distinct(), nodes, narrow, words))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -301,42 +329,43 @@ def _links(postings: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int,
         common = F.size(F.array_intersect("x", "y"))
         return both.select("a", "b", ((num + den) * common >= num * (F.size("x") + F.size("y"))).alias("linked"))
 
-    links, tried = None, None
+    placed, tried, last = members.withColumn("c", F.col("node")), None, False
     for turn in range(HUB_ROUNDS + 1):
-        if links is None:
-            placed = members.withColumn("c", F.col("node"))
-        else:
-            roots = connected(links).withColumnRenamed("root", "c")
-            placed = members.join(roots, "node", "left").withColumn("c", F.coalesce("c", "node"))
-        placed = stage(placed) if turn else placed
+        last = last or turn == HUB_ROUNDS
         alive = placed.groupBy("token").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.struct("weight", "node", "n", "c")).alias("hub")).where("low < high")
-        if turn < HUB_ROUNDS:
-            pairs = placed.join(alive.select("token", F.col("hub.node").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.c").alias("hc")), "token")
-            pairs = pairs.where((F.col("c") != F.col("hc")) & _fits("n", "hn", num, den)).select("node", "h")
-            # A hub has now met all members of its list.
-            used = alive.select("token", F.col("hub.node").alias("node"))
-            members = placed.drop("c").join(used, ["token", "node"], "left_anti")
+            F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("place", "node", "n", "c")).alias("hub")).where("low < high")
+        if not last:
+            hubs = alive.select("token", F.col("hub.node").alias("h"), F.col("hub.n").alias("hub_n"), F.col("hub.place").alias("hub_place"), F.col("hub.c").alias("hc"))
+            pairs = placed.join(hubs, "token").where((F.col("c") != F.col("hc")) & _fits("", "hub_", num, den)).select("node", "h")
         else:
             open_ = placed.join(alive.select("token"), "token")
             one, two = open_.alias("one"), open_.alias("two")
             pairs = one.join(two, F.col("one.token") == F.col("two.token")).where("one.node < two.node AND one.c <> two.c")
-            pairs = pairs.where(_fits("one.n", "two.n", num, den)).select(F.col("one.node").alias("node"), F.col("two.node").alias("h"))
+            pairs = pairs.where(_fits("one.", "two.", num, den)).select(F.col("one.node").alias("node"), F.col("two.node").alias("h"))
         pairs = pairs.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         checked = stage(verified(pairs))
-        members = stage(members) if turn < HUB_ROUNDS else members
         tried = checked if tried is None else tried.unionByName(checked)
-        links = tried.where("linked").select("a", "b")
-        if checked.isEmpty() and turn:
+        if last:
             break
-    return links
+        # A hub has met all members of its list; what is left of the list goes on with their components.
+        used = alive.select("token", F.col("hub.node").alias("node"))
+        rest = placed.join(used, ["token", "node"], "left_anti").join(alive.select("token"), "token", "left_semi")
+        if checked.where("linked").isEmpty():
+            last = True  # hubs link nothing any more: what is left is compared in pairs
+        else:
+            roots = connected(tried.where("linked").select("a", "b")).withColumnRenamed("root", "c")
+            rest = rest.drop("c").join(roots, "node", "left").withColumn("c", F.coalesce("c", "node"))
+        placed = stage(rest.select("token", "node", "n", "place", "c"))
+    return tried.where("linked").select("a", "b")
 
 
 def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int) -> DataFrame:
     """The whole set of each wanted node, from the text of one of its documents."""
-    ids = nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("doc"))
+    ids = stage(nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("doc")))
+    if ids.count() <= SENT_ROWS:
+        ids = F.broadcast(ids)
     texts = narrow.join(ids, narrow["id"].eqNullSafe(ids["doc"])).select("node", "text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +377,9 @@ def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    return texts.mapInArrow(whole, "node long, shingles array<long>").dropDuplicates(["node"])
+    found = texts.mapInArrow(whole, "node long, shingles array<long>")
+    # Rows that repeat an id and a text give a set more than once.
+    return found.dropDuplicates(["node"])
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
