@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,15 @@ from tabwright.llm.common import held_out
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+#: Where this package is installed or checked out.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # Python workers have to find this package, also where only the driver's path names it.
+    seen = spark.sparkContext.environment
+    if ROOT not in seen.get("PYTHONPATH", "").split(os.pathsep):
+        seen["PYTHONPATH"] = os.pathsep.join(filter(None, [seen.get("PYTHONPATH"), ROOT]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -22,10 +32,17 @@ def language_model(spark: SparkSession, folder: str) -> langid.Model:
     return langid.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
 
 
-def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
-    labels = table(spark, folder, "labels").select("doc_id", "toxic").where(~held_out(F.col("doc_id"), 3, 1))
+def toxicity_model(spark: SparkSession, folder: str, max_rows: int = 20_000) -> toxicity.Model:
+    """Learnt from about ``max_rows`` labels, drawn by their id, and the whole texts of these documents.
+
+    The bound of the sample bounds the broadcast of its ids and labels as well.
+    """
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    labels = labels.where(~held_out(F.col("doc_id"), 3, 1)).where("toxic IS NOT NULL")
+    share = min(1.0, max_rows / max(labels.count(), 1))
+    drawn = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return toxicity.fit(docs.join(labels.where("toxic IS NOT NULL"), "doc_id"))
+    return toxicity.fit(docs.join(F.broadcast(drawn), "doc_id"), max_rows=2 * max_rows)
 
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
