@@ -7,7 +7,12 @@ stretches in which tags recur, become repeated groups; text that differs makes a
 belongs to the template. Pages are aligned within tasks, the tasks' wrappers are aligned with each
 other per host and salt, and then per host, so that no task gathers a host. All pages take part.
 
-A wrapper tells where on the host's pages the main text stands, and what is template. A page that marks its
+A wrapper tells where on the host's pages the main text stands, and what is template. Text is template if at
+least ``AGREE`` pages of different main texts, and a share ``SHARE`` of the host's pages, have it alike; copies of a
+page count once, and the place of most running text is never template. Where that place is alike on all its pages, as
+on a host of copies, the place of most running text that differs is returned with it.
+
+A page that marks its
 article itself (``article``, ``main``) is taken at its word; menus, headers, footers, sidebars, notices,
 adverts, forms, comments and the like are left out by element, role and name in either case.
 
@@ -47,8 +52,9 @@ PART = re.compile(r"[a-z]+", re.I)
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
-#: Pages that have to agree before a text counts as template; hosts held by a task; salts of a host.
-AGREE, HELD, SALTS = 5, 2_000, 64
+#: Pages of different main texts that have to agree before a text counts as template, and their share of the host's pages;
+#: hosts held by a task; salts of a host.
+AGREE, SHARE, HELD, SALTS = 5, 0.25, 2_000, 64
 
 
 def unwanted(e: Element, inside: bool) -> bool:
@@ -165,14 +171,22 @@ def scores(page: Element) -> dict[str, float]:
 def extract(html: str | None, known: dict | None = None) -> str:
     """The main text of a page; ``known`` is what the wrapper of its host tells."""
     page = parse(html or "")
+    return " ".join(_main_blocks(page, scores(page), known))
+
+
+def _main_blocks(page: Element, places: dict[str, float], known: dict | None = None) -> list[str]:
     found = _marked(page)
-    if found is None:
-        skip = frozenset(known["template"]) if known else frozenset()
-        places = scores(page)
-        best = known["place"] if known and known["place"] in places else max(places, key=places.get, default="")
-        spots = [(e, p) for e, p in _elements(page) if p == best] if best else [(page, "")]
-        found = [b for e, p in spots for b in _unlinked(e, skip, p)]
-    return " ".join(found)
+    if found is not None:
+        return found
+    skip = frozenset(known["template"]) if known else frozenset()
+    told_places = [p for p in (known["place"], known["also"]) if p in places] if known else []
+    best = told_places or [p for p in [max(places, key=places.get, default="")] if p]
+    spots = [(e, p) for e, p in _elements(page) if any(p == at and not any(_within(p, o) for o in best if o != at) for at in best)] if best else [(page, "")]
+    return [b for e, p in spots for b in _unlinked(e, skip, p)]
+
+
+def _within(path: str, place: str) -> bool:
+    return path == place or path.startswith(f"{place}/")
 
 
 def _unlinked(e: Element, skip: frozenset[str], path: str) -> list[str]:
@@ -200,21 +214,24 @@ def _whole_text(e: Element) -> tuple[int, int]:
 
 # --- wrappers ---------------------------------------------------------------------------
 # A wrapper is a tree of dicts: k the tag with its names, n pages that have it, r whether it repeats, h a
-# checksum of its text while that is the same on all pages (else -1), s the score of running text, c what it holds.
+# checksum of its text while that is the same on all pages (else -1), d checksums of the main texts of the pages that
+# have it, as long as h holds and up to AGREE, s the score of running text, c what it holds.
 # A node whose k is empty is a group that repeats.
 
-def shape(e: Element, places: dict[str, float], path: str = "") -> dict:
+def shape(e: Element, places: dict[str, float], path: str = "", own: int | None = None) -> dict:
     """A page as a wrapper of its own."""
+    if own is None:
+        own = zlib.crc32(" ".join(_main_blocks(e, places)).encode("utf-8", "surrogatepass"))
     text, parts = 0, []
     for child in e.children:
         if isinstance(child, str):
             if body := " ".join(child.split()):
                 text = zlib.crc32(body.encode("utf-8", "surrogatepass"), text)
         else:
-            part = shape(child, places, f"{path}/{child.key}")
+            part = shape(child, places, f"{path}/{child.key}", own)
             text = zlib.crc32(part["h"].to_bytes(4, "little"), text)
             parts.append(part)
-    return {"k": e.key, "n": 1, "r": False, "h": text, "s": places.pop(path, 0.0), "c": _folded(parts)}
+    return {"k": e.key, "n": 1, "r": False, "h": text, "d": [own], "s": places.pop(path, 0.0), "c": _folded(parts)}
 
 
 def _joined(a: dict, b: dict, same_page: bool) -> dict:
@@ -223,7 +240,8 @@ def _joined(a: dict, b: dict, same_page: bool) -> dict:
         n, r, h = 1, True, zlib.crc32(b["h"].to_bytes(4, "little"), a["h"])
     else:
         n, r, h = a["n"] + b["n"], a["r"] or b["r"], a["h"] if a["h"] == b["h"] else -1
-    return {"k": a["k"], "n": n, "r": r, "h": h, "s": a["s"] + b["s"], "c": _aligned(a["c"], b["c"], same_page)}
+    d = a["d"] if h == -1 or len(a["d"]) >= AGREE else [*a["d"], *(x for x in b["d"] if x not in a["d"])][:AGREE]
+    return {"k": a["k"], "n": n, "r": r, "h": h, "d": [] if h == -1 else d, "s": a["s"] + b["s"], "c": _aligned(a["c"], b["c"], same_page)}
 
 
 def _folded(parts: list[dict]) -> list[dict]:
@@ -249,7 +267,7 @@ def _group(parts: list[dict]) -> dict:
     for part in parts:
         for one in part["c"] if part["k"] == "" else [part]:
             held[one["k"]] = _joined(held[one["k"]], one, True) if one["k"] in held else one
-    return {"k": "", "n": 1, "r": True, "h": -1, "s": 0.0, "c": list(held.values())}
+    return {"k": "", "n": 1, "r": True, "h": -1, "d": [], "s": 0.0, "c": list(held.values())}
 
 
 def _aligned(a: list[dict], b: list[dict], same_page: bool) -> list[dict]:
@@ -284,7 +302,7 @@ def _aligned(a: list[dict], b: list[dict], same_page: bool) -> list[dict]:
 def _met(x: dict, y: dict, same_page: bool) -> dict:
     if x["k"]:
         return _joined(x, y, same_page)
-    return {"k": "", "n": 1 if same_page else x["n"] + y["n"], "r": True, "h": -1, "s": 0.0, "c": _aligned(x["c"], y["c"], same_page)}
+    return {"k": "", "n": 1 if same_page else x["n"] + y["n"], "r": True, "h": -1, "d": [], "s": 0.0, "c": _aligned(x["c"], y["c"], same_page)}
 
 
 def _gathered(parts: list[dict], names: set[str]) -> list[dict]:
@@ -301,7 +319,7 @@ def _gathered(parts: list[dict], names: set[str]) -> list[dict]:
             continue
         for one in x["c"] if x["k"] == "" else [x]:
             held[one["k"]] = {**_joined(held[one["k"]], one, True), "n": max(held[one["k"]]["n"], one["n"])} if one["k"] in held else one
-    group = {"k": "", "n": n, "r": True, "h": -1, "s": 0.0, "c": list(held.values())}
+    group = {"k": "", "n": n, "r": True, "h": -1, "d": [], "s": 0.0, "c": list(held.values())}
     return [x for i, x in rest if i < at[0]] + [group] + [x for i, x in rest if i > at[0]]
 
 
@@ -319,25 +337,31 @@ def expression(wrapper: dict, pages: int | None = None) -> str:
 
 
 def told(wrapper: dict) -> dict:
-    """What a wrapper tells: places whose text is template, and the place of most running text."""
-    template, place, most = [], "", 0.0
+    """What a wrapper tells: places whose text is template, and the place of most running text.
 
-    def walk(node: dict, path: str) -> None:
-        nonlocal place, most
+    Where the latter is alike on all its pages, the one of most running text that differs is told as well (``also``).
+    """
+    def nodes(node: dict, path: str = "") -> Iterator[tuple[str, dict]]:
         for child in node["c"]:
             if child["k"] == "":
-                walk(child, path)
-                continue
-            below = f"{path}/{child['k']}"
-            if child["n"] >= AGREE and child["h"] not in (-1, 0):
-                template.append(below)
-                continue
-            if child["s"] > most:
-                place, most = below, child["s"]
-            walk(child, below)
-
-    walk(wrapper, "")
-    return {"template": template, "place": place}
+                yield from nodes(child, path)
+            else:
+                yield (below := f"{path}/{child['k']}"), child
+                yield from nodes(child, below)
+
+    every = list(nodes(wrapper))
+    place, top = max(every, key=lambda x: x[1]["s"], default=("", None))
+    if top is None or not top["s"]:
+        place = ""
+    alike = bool(place) and top["n"] > 1 and top["h"] != -1
+    template: list[str] = []
+    for path, node in every:
+        if node["h"] in (-1, 0) or len(node["d"]) < AGREE or node["n"] < SHARE * wrapper["n"] or (template and _within(path, template[-1])):
+            continue
+        if path != place and not (alike and (_within(path, place) or _within(place, path))):
+            template.append(path)
+    others = [x for x in every if x[1]["h"] == -1 and x[1]["s"] and not _within(place, x[0])] if alike else []
+    return {"template": template, "place": place, "also": max(others, key=lambda x: x[1]["s"], default=("", None))[0]}
 
 
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

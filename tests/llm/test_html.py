@@ -82,3 +82,24 @@ def test_repeats(html, want):
 
 def test_empty_table(spark):
     assert h.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def told_of(pages):
+    total = None
+    for page in map(parse, pages):
+        total = h.merged(total, h.shape(page, h.scores(page)))
+    return h.told(total)
+
+
+def test_copies_are_no_template():
+    story = f"<div class=story><p>{para('copy', 80)}</p></div>"
+    pages = [f"<body>{story}<div class=box><p>{para(f'v{i}', 12)}</p></div></body>" for i in range(7)]
+    known = told_of(pages)
+    assert known["place"].endswith("div.story") and all(para("copy", 80) in h.extract(p, known) for p in pages)
+
+
+def test_a_passage_on_few_pages_is_no_template():
+    passage = f"<div class=special><p>{para('few', 20)}</p></div>"
+    pages = [f"<body><div class=story><p>{para(f'f{i}', 50)}</p>{passage if i < 6 else ''}</div></body>" for i in range(60)]
+    known = told_of(pages)
+    assert all(para("few", 20) in h.extract(p, known) for p in pages[:6]) and not known["template"]
