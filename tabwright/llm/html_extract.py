@@ -12,9 +12,11 @@ least ``AGREE`` pages of different main texts, and a share ``SHARE`` of the host
 page count once, and the place of most running text is never template. Where that place is alike on all its pages, as
 on a host of copies, the place of most running text that differs is returned with it.
 
-A page that marks its
-article itself (``article``, ``main``) is taken at its word; menus, headers, footers, sidebars, notices,
-adverts, forms, comments and the like are left out by element, role and name in either case.
+A page that marks its article itself (``article``, ``main``) is aligned like the others: its marks say where the text is,
+all of them that are not nested, in page order; within an article, what is both template and named like no main text is left out,
+since an article may have headings or lists that all its pages share. Menus, footers, sidebars, forms and the
+like are left out by element and role everywhere, by name (notices, adverts, related pages) alone outside
+articles only; comments are left out by name within them, too.
 
 Nulls: a null or empty page has an empty text. Pages without a host (null or malformed url) are
 extracted by themselves, as is the only page of a host. Pages that repeat are extracted each. An empty
@@ -48,6 +50,8 @@ NAMES = frozenset(
     "notices notification alert popup modal overlay newsletter subscribe subscription signup sidebar aside rail menu navbar nav navigation topnav "
     "breadcrumb breadcrumbs toolbar header masthead topbar footer foot copyright legal comment comments commentlist respond reply replies discussion disqus "
     "related recommended recommendations share sharing social widget widgets pagination pager login search hidden skip teaser teasers outbrain taboola".split())
+#: Names of parts in which readers answer; the only ones that count within an article.
+COMMENTS = frozenset("comment comments commentlist respond reply replies disqus".split())
 PART = re.compile(r"[a-z]+", re.I)
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
@@ -55,10 +59,19 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Pages of different main texts that have to agree before a text counts as template, and their share of the host's pages;
 #: hosts held by a task; salts of a host.
 AGREE, SHARE, HELD, SALTS = 5, 0.25, 2_000, 64
+#: Where an element stands: in a page's main part, or in an article.
+MAIN, ARTICLE = 1, 2
 
 
-def unwanted(e: Element, inside: bool) -> bool:
-    """Whether an element is no main text; ``inside`` an article, a header is looked into."""
+def mark(e: Element) -> int:
+    """What an element says of itself: ``ARTICLE``, ``MAIN`` or nothing."""
+    if e.name == "article" or e.attributes.get("itemprop", "").lower() == "articlebody":
+        return ARTICLE
+    return MAIN if e.name == "main" or e.attributes.get("role", "").lower() == "main" else 0
+
+
+def unwanted(e: Element, inside: int) -> bool:
+    """Whether an element is no main text; ``inside`` a main part or an article, a header is looked into."""
     if e.name in LEFT_OUT or (e.name == "header" and not inside):
         return True
     a = e.attributes
@@ -68,17 +81,28 @@ def unwanted(e: Element, inside: bool) -> bool:
         return True
     if "display:none" in (style := a.get("style", "").replace(" ", "").lower()) or "visibility:hidden" in style:
         return True
-    if e.name in ("html", "body", "main") or (e.name == "article" and inside is False and "comment" not in e.key):
+    if "hidden" in a.get("class", "").lower().split():
+        return True
+    if e.name in ("html", "body", "main") or (e.name == "article" and inside != ARTICLE and "comment" not in e.key):
         return False
-    return any(p in NAMES for label in (a.get("class", ""), a.get("id", "")) for p in (w.lower() for w in PART.findall(_parted(label))))
+    return named(e, COMMENTS if inside == ARTICLE else NAMES)
+
+
+def named(e: Element, names: frozenset[str]) -> bool:
+    """Whether a word of an element's class or id is one of ``names``."""
+    a = e.attributes
+    return any(p in names for label in (a.get("class", ""), a.get("id", "")) for p in (w.lower() for w in PART.findall(_parted(label))))
 
 
 def _parted(label: str) -> str:
     return re.sub(r"([a-z])([A-Z])", r"\1 \2", label)
 
 
-def blocks(e: Element, skip: frozenset[str] = frozenset(), path: str = "", inside: bool = False) -> list[str]:
-    """The texts of the blocks below an element, in page order, blank ones left out."""
+def blocks(e: Element, skip: frozenset[str] = frozenset(), path: str = "", inside: int = 0) -> list[str]:
+    """The texts of the blocks below an element, in page order, blank ones left out.
+
+    What stands at the places ``skip`` is left out; within an article, only what is named like no main text as well.
+    """
     out, line = [], []
 
     def flush() -> None:
@@ -87,14 +111,15 @@ def blocks(e: Element, skip: frozenset[str] = frozenset(), path: str = "", insid
             out.append(text)
         line.clear()
 
-    def walk(e: Element, path: str, in_header: bool, heading: bool) -> None:
+    def walk(e: Element, path: str, in_header: bool, heading: bool, inside: int, alike: bool) -> None:
         for child in e.children:
             if isinstance(child, str):
                 if not in_header or heading:
                     line.append(child)
                 continue
             below = f"{path}/{child.key}" if skip else ""
-            if unwanted(child, inside) or (skip and below in skip):
+            same = alike or (bool(skip) and below in skip)
+            if unwanted(child, inside) or (same and (inside != ARTICLE or named(child, NAMES))):
                 if child.name in BLOCKS:
                     flush()
                 continue
@@ -104,44 +129,41 @@ def blocks(e: Element, skip: frozenset[str] = frozenset(), path: str = "", insid
             block = child.name in BLOCKS
             if block:
                 flush()
-            walk(child, below, in_header or child.name == "header", heading or child.name in HEADINGS)
+            walk(child, below, in_header or child.name == "header", heading or child.name in HEADINGS, max(inside, mark(child)), same)
             if block:
                 flush()
 
-    walk(e, path, False, False)
+    walk(e, path, False, False, inside, False)
     flush()
     return out
 
 
-def _elements(e: Element, path: str = "") -> Iterator[tuple[Element, str]]:
-    for child in e.children:
-        if not isinstance(child, str) and not unwanted(child, False):
-            below = f"{path}/{child.key}"
-            yield child, below
-            yield from _elements(child, below)
-
-
-def _marked(page: Element) -> list[str] | None:
-    """The blocks of the page's own article, the longest if there are several; else of its main part."""
-    every = list(_elements(page))
-    for wanted in (
-        lambda e: e.name == "article" or e.attributes.get("itemprop", "").lower() == "articlebody",
-        lambda e: e.name == "main" or e.attributes.get("role", "").lower() == "main",
-    ):
-        found = [blocks(e, inside=True) for e, _ in every if wanted(e)]
-        if any(found):
-            return max(found, key=lambda b: sum(map(len, b)))
-    return None
-
-
-def _own_text(e: Element) -> tuple[int, int]:
+def _spots(page: Element, wanted: frozenset[str], marked: bool) -> list[tuple[Element, str, int]]:
+    """The outermost elements at the wanted places, or that mark themselves, in page order, with place and mark."""
+    out = []
+
+    def walk(e: Element, path: str) -> None:
+        for child in e.children:
+            if isinstance(child, str) or unwanted(child, 0):
+                continue
+            below, own = f"{path}/{child.key}", mark(child)
+            if below in wanted or (marked and own):
+                out.append((child, below, own))
+            else:
+                walk(child, below)
+
+    walk(page, "")
+    return out
+
+
+def _own_text(e: Element, inside: int) -> tuple[int, int]:
     """Length of the text in an element and its inline descendants, and how much of it is linked."""
     text = linked = 0
     for child in e.children:
         if isinstance(child, str):
             text += len(" ".join(child.split()))
-        elif child.name not in BLOCKS and not unwanted(child, False):
-            t, k = _own_text(child)
+        elif child.name not in BLOCKS and not unwanted(child, inside):
+            t, k = _own_text(child, inside)
             text, linked = text + t, linked + (t if child.name == "a" else k)
     return text, linked
 
@@ -150,21 +172,21 @@ def scores(page: Element) -> dict[str, float]:
     """How much running text stands right below each place of a page, and half as much one level up."""
     out: dict[str, float] = {}
 
-    def walk(e: Element, path: str, above: str) -> None:
+    def walk(e: Element, path: str, above: str, inside: int) -> None:
         for child in e.children:
-            if isinstance(child, str) or unwanted(child, False):
+            if isinstance(child, str) or unwanted(child, inside):
                 continue
-            below = f"{path}/{child.key}"
+            below, deeper = f"{path}/{child.key}", max(inside, mark(child))
             if child.name in BLOCKS:
-                text, linked = _own_text(child)
+                text, linked = _own_text(child, deeper)
                 if text >= 25 and linked < 0.5 * text:
                     out[path] = out.get(path, 0) + text
                     out[above] = out.get(above, 0) + text / 2
                     if child.name in ("div", "section", "td", "body"):
                         out[below] = out.get(below, 0) + text
-            walk(child, below, path)
+            walk(child, below, path, deeper)
 
-    walk(page, "", "")
+    walk(page, "", "", 0)
     return out
 
 
@@ -175,13 +197,12 @@ def extract(html: str | None, known: dict | None = None) -> str:
 
 
 def _main_blocks(page: Element, places: dict[str, float], known: dict | None = None) -> list[str]:
-    found = _marked(page)
-    if found is not None:
-        return found
     skip = frozenset(known["template"]) if known else frozenset()
     told_places = [p for p in (known["place"], known["also"]) if p in places] if known else []
-    best = told_places or [p for p in [max(places, key=places.get, default="")] if p]
-    spots = [(e, p) for e, p in _elements(page) if any(p == at and not any(_within(p, o) for o in best if o != at) for at in best)] if best else [(page, "")]
+    if found := [b for e, p, own in _spots(page, frozenset(), True) for b in blocks(e, skip, p, own)]:
+        return found
+    best = frozenset(told_places) or frozenset(p for p in [max(places, key=places.get, default="")] if p)
+    spots = [(e, p) for e, p, _ in _spots(page, best, False)] if best else [(page, "")]
     return [b for e, p in spots for b in _unlinked(e, skip, p)]
 
 
@@ -206,7 +227,7 @@ def _whole_text(e: Element) -> tuple[int, int]:
     for child in e.children:
         if isinstance(child, str):
             text += len(" ".join(child.split()))
-        elif not unwanted(child, False):
+        elif not unwanted(child, 0):
             t, k = _whole_text(child)
             text, linked = text + t, linked + (t if child.name == "a" else k)
     return text, linked

@@ -103,3 +103,20 @@ def test_a_passage_on_few_pages_is_no_template():
     pages = [f"<body><div class=story><p>{para(f'f{i}', 50)}</p>{passage if i < 6 else ''}</div></body>" for i in range(60)]
     known = told_of(pages)
     assert all(para("few", 20) in h.extract(p, known) for p in pages[:6]) and not known["template"]
+
+
+def test_all_marked_parts_are_kept():
+    html = """<body><nav>Menu</nav><main><h1>Head</h1><p>Lead</p><article><p>One</p><section id="discussion">Talk</section><h2 id="legal-status">Law</h2>
+    <p class="notice">Mind</p><section id="related-work">Others</section><div class="comments"><p>Nice</p></div><p class="hidden">gone</p></article>
+    <div class="sidebar">Side</div><article><p>Two and more text</p></article><p>Close</p></main><footer>End</footer></body>"""
+    assert h.extract(html) == "Head Lead One Talk Law Mind Others Two and more text Close"
+    assert h.extract("<article><p>First</p></article><p>x</p><article><p>The second one</p></article>") == "First The second one"
+
+
+def test_names_count_where_the_wrapper_shows_template():
+    def page(i):
+        return (f"<body><article><h1>Title {i}</h1><p>{para(f'w{i}')}</p><p class=notice>The editors thank all readers.</p>"
+                f"<p class=legal>{para(f'l{i}')}</p></article></body>"), f"Title {i} {para(f'w{i}')} {para(f'l{i}')}"
+
+    known = told_of([page(i)[0] for i in range(8)])
+    assert [h.extract(page(i)[0], known) for i in range(8)] == [page(i)[1] for i in range(8)]
