@@ -13,8 +13,9 @@ page count once, and the place of most running text is never template. Where tha
 on a host of copies, the place of most running text that differs is returned with it.
 
 A page that marks its article itself (``article``, ``main``) is aligned like the others: its marks say where the text is,
-all of them that are not nested, in page order; within an article, what is both template and named like no main text is left out,
-since an article may have headings or lists that all its pages share. Menus, footers, sidebars, forms and the
+all of them that are not nested, in page order; marks that are template are left out, and within an article what is both template
+and named like no main text, since an article may have headings or lists that all its pages share. The wrapper's own place is
+added if it lies outside the marks and holds more running text than they do. Menus, footers, sidebars, forms and the
 like are left out by element and role everywhere, by name (notices, adverts, related pages) alone outside
 articles only; comments are left out by name within them, too.
 
@@ -199,8 +200,18 @@ def extract(html: str | None, known: dict | None = None) -> str:
 def _main_blocks(page: Element, places: dict[str, float], known: dict | None = None) -> list[str]:
     skip = frozenset(known["template"]) if known else frozenset()
     told_places = [p for p in (known["place"], known["also"]) if p in places] if known else []
-    if found := [b for e, p, own in _spots(page, frozenset(), True) for b in blocks(e, skip, p, own)]:
-        return found
+    marks = _spots(page, frozenset(), True)
+    if marks:
+        held = [p for p in places if any(_within(p, at) for _, at, _ in marks)]
+        most = max((places[p] for p in held), default=0)
+        outside = frozenset(p for p in told_places if places[p] > most and not any(_within(p, at) or _within(at, p) for _, at, _ in marks))
+        spots = _spots(page, outside, True)
+        for left_out in (skip, frozenset()):
+            # Marks that are template as a whole hold no main text, unless there is no other.
+            found = [b for e, p, own in spots if not any(_within(p, t) for t in left_out)
+                     for b in (blocks(e, left_out, p, own) if own else _unlinked(e, left_out, p))]
+            if found:
+                return found
     best = frozenset(told_places) or frozenset(p for p in [max(places, key=places.get, default="")] if p)
     spots = [(e, p) for e, p, _ in _spots(page, best, False)] if best else [(page, "")]
     return [b for e, p in spots for b in _unlinked(e, skip, p)]

@@ -120,3 +120,17 @@ def test_names_count_where_the_wrapper_shows_template():
 
     known = told_of([page(i)[0] for i in range(8)])
     assert [h.extract(page(i)[0], known) for i in range(8)] == [page(i)[1] for i in range(8)]
+
+
+def test_the_wrapper_finds_the_text_outside_a_mark():
+    def page(i):
+        return f"<body><article><p>Read more on this today</p></article><div class=story><p>{para(f'o{i}', 60)}</p></div></body>"
+
+    known = told_of([page(i) for i in range(8)])
+    assert all(para(f"o{i}", 60) in h.extract(page(i), known) for i in range(8))
+
+
+def test_a_marked_card_of_all_pages_is_template():
+    pages = [f"<body><article><p>{para(f'c{i}')}</p></article><article class=card>The same card on all pages</article></body>" for i in range(8)]
+    known = told_of(pages)
+    assert [h.extract(p, known) for p in pages] == [para(f"c{i}") for i in range(8)]
