@@ -185,8 +185,9 @@ def _counted(batches: Iterator[pa.RecordBatch], words: int, schema: T.StructType
                 _count(total, waiting)
                 waiting, held = [], 0
         kind = batch.schema.field("id").type
+        marks = [batch.column("mark")] if "mark" in names else []
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(n), pa.array(key), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
+            [batch.column("id"), pa.array(n), pa.array(key), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), *marks], names=names)
     if waiting:
         _count(total, waiting)
     chunks = [(i, _packed(part)) for i, part in enumerate(total.reshape(-1, 1 << CHUNK_BITS)) if part.any()]
@@ -194,7 +195,7 @@ def _counted(batches: Iterator[pa.RecordBatch], words: int, schema: T.StructType
         m = len(chunks)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(m, kind), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.array([c for c, _ in chunks], pa.int32()),
-             pa.array([d for _, d in chunks], pa.binary())], names=names)
+             pa.array([d for _, d in chunks], pa.binary()), *([pa.nulls(m, pa.int64())] if "mark" in names else [])], names=names)
 
 
 def _count(total: np.ndarray, waiting: list[np.ndarray]) -> None:
@@ -232,17 +233,35 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """One row per document: key, n_shingles, component_id, and the node of its set."""
+    rows, nodes, roots = _connected_nodes(docs, key, text, words, threshold)
+    best = nodes.join(roots, nodes["node"] == roots["node"]).groupBy("root").agg(F.min("id").alias("smallest"))
+    of_node = roots.join(best, "root").select("node", "smallest")
+    out = rows.join(of_node, "node", "left").join(nodes.select("node", F.col("id").alias("own")), "node", "left")
+    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("smallest", "own"))
+    return out.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "node")
+
+
+def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold: tuple[int, int],
+                     marked: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (id, n, node), nodes (node, id, n) and, for nodes that link, their roots; ``marked``, nodes tell the row of
+    their smallest id by a hash of its text, too (mark)."""
     num, den = threshold
     if not 0 < num < den:
         raise ValueError("the threshold lies between 0 and 1")
     spark = docs.sparkSession
     narrow = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    given = narrow.withColumn("mark", F.xxhash64("text")) if marked else narrow
     id_type = narrow.schema["id"].dataType
     schema = T.StructType([T.StructField("id", id_type), T.StructField("n", T.IntegerType()), T.StructField("node", T.LongType()),
-                           T.StructField("chunk", T.IntegerType()), T.StructField("data", T.BinaryType())])
-    counted = stage(narrow.mapInArrow(lambda b: _counted(b, words, schema), schema))
-    rows = counted.where("chunk IS NULL").select("id", "n", "node")
-    nodes = stage(rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")))
+                           T.StructField("chunk", T.IntegerType()), T.StructField("data", T.BinaryType()),
+                           *([T.StructField("mark", T.LongType())] if marked else [])])
+    counted = stage(given.mapInArrow(lambda b: _counted(b, words, schema), schema))
+    rows = counted.where("chunk IS NULL").drop("chunk", "data")
+    if marked:
+        nodes = rows.where("n > 0").groupBy("node").agg(F.min(_in_order("mark")).alias("first"), F.max("n").alias("n"))
+        nodes = stage(nodes.select("node", "first.id", "n", "first.mark"))
+    else:
+        nodes = stage(rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")))
 
     levels, total, used = np.zeros(1 << COUNTER_BITS, np.uint8), 0, 0
     chunks = counted.where("chunk IS NOT NULL").select("chunk", "data").repartition("chunk")
@@ -290,12 +309,12 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
     postings = narrow.select("text").mapInArrow(enter, "token long, node long, n int, place int")
     links = _links(stage(postings), nodes, narrow, words, num, den)
-    roots = connected(links)
-    best = nodes.join(roots, nodes["node"] == roots["node"]).groupBy("root").agg(F.min("id").alias("smallest"))
-    of_node = roots.join(best, "root").select("node", "smallest")
-    out = rows.join(of_node, "node", "left").join(nodes.select("node", F.col("id").alias("own")), "node", "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("smallest", "own"))
-    return out.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "node")
+    return rows, nodes, connected(links)
+
+
+def _in_order(*then: str) -> Column:
+    """The smallest id first, null ids last."""
+    return F.struct(F.col("id").isNull().alias("open"), "id", *then)
 
 
 def _fits(one: str, two: str, num: int, den: int) -> Column:
@@ -385,9 +404,15 @@ def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int)
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """The input with one document of each component, the one of the smallest id, in its own columns.
 
-    Documents without words are all kept. Rows with one id count as one document.
+    Documents without words are all kept, and so are all that link with nothing, whether their id is null or stands in other
+    rows as well. Of the rows of the chosen id and text one is kept; null ids are chosen last.
     """
-    found = components(docs, key, text, words, threshold)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__kept"), "n_shingles").distinct()
-    chosen = docs.join(kept, docs[key].eqNullSafe(kept["__kept"]), "left_semi")
-    return chosen.dropDuplicates([key])
+    _, nodes, roots = _connected_nodes(docs, key, text, words, threshold, marked=True)
+    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = placed.groupBy("root").agg(F.min(_in_order("node", "mark")).alias("first"))
+    kept = first.select(F.col("first.id").alias("__kept"), F.col("first.mark").alias("__kept_mark"))
+    body = F.col(text).cast("string")
+    worded = F.coalesce(body.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    having = docs.where(worded).withColumn("__mark", F.xxhash64(body))
+    chosen = having.join(kept, having[key].eqNullSafe(kept["__kept"]) & (having["__mark"] == kept["__kept_mark"]), "left_semi")
+    return chosen.dropDuplicates([key, "__mark"]).drop("__mark").unionByName(docs.where(~worded))

@@ -91,6 +91,18 @@ def test_keeps_one_of_each_group(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 8, 9]
 
 
+def test_keeps_rows_that_link_with_nothing(spark):
+    texts = [" ".join(f"t{i}x{k}" for k in range(30)) for i in range(8)]
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[3]), (None, texts[4] + " more"), (11, texts[4])]
+    rows += [(1, texts[5]), (2, texts[5] + " more"), (2, texts[6]), (3, texts[7]), (3, texts[0] + " more")]
+    rows += [(None, None), (None, ""), (None, " \t\n"), (8, ""), (8, None), (2, "\u00a0"), (None, "\u00a0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((tuple(r) for r in jaccard.keep_one(docs).collect()), key=repr)
+    want = [(None, t) for t in texts[1:4]] + [(11, texts[4]), (1, texts[5]), (2, texts[6]), (3, texts[7]), (3, texts[0] + " more")]
+    want += [(None, None), (None, ""), (None, " \t\n"), (8, ""), (8, None), (2, "\u00a0")]
+    assert kept == sorted(want, key=repr)
+
+
 @given(st.integers(1, 60), st.integers(1, 60), st.sampled_from([(9, 10), (8, 10), (1, 2)]))
 def test_sizes(a, b, threshold):
     num, den = threshold
