@@ -13,7 +13,8 @@ rank with the interval of ranks that its run was given.
 
 Nulls: a null text is an empty document, which is the end token alone. A null id is kept as it
 is. Equal rows are packed as often as they occur. An empty table gives an empty result. Other
-columns of the input are not read. Token ids come from a byte-pair vocabulary given as ranks.
+columns of the input are not read. Token ids come from a byte-pair vocabulary given as ranks. Tokens that were added to it
+are recognised in texts if they are given (``added``), as its own tokenizer does by default; otherwise they are plain text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from tabwright.llm.common import placed, stage
 # Fixed value: the pattern that splits text before the merges, in its form without backtracking.
 PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
 END = 2
+#: The token that was added to the default vocabulary, with its id.
+ADDED = (("<|endoftext|>", 50256),)
 
 
 def default_vocabulary() -> str:
@@ -46,13 +49,17 @@ def default_vocabulary() -> str:
 
 
 @cache
-def encoder(path: str):
-    """Ids of a text by the ranks in ``path``: the same ids as the vocabulary's own tokenizer gives."""
+def encoder(path: str, added: tuple[tuple[str, int], ...] = ()):
+    """Ids of a text by the ranks in ``path``: the same ids as the vocabulary's own tokenizer gives.
+
+    With its ``added`` tokens they are those of its default settings, without those of ``encode_special_tokens``.
+    """
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=dict(added))
+    return partial(encoding.encode, allowed_special="all") if added else encoding.encode_ordinary
 
 
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -117,7 +124,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 1024, vocabulary: str | None = None,
-           keep_ids: bool = False) -> DataFrame:
+           keep_ids: bool = False, added: tuple[tuple[str, int], ...] = ()) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, part and rank in (part, length); on demand its ids."""
     path = vocabulary or default_vocabulary()
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -127,7 +134,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seen = encoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encode, part, seen = encoder(path, added), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, number, start, length, crc, nth, kept = [], [], [], [], [], [], []
             for i, body in enumerate(batch.column("text")):
@@ -153,9 +160,9 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 1024, vocabulary: str | None = None,
-         keep_ids: bool = True) -> DataFrame:
+         keep_ids: bool = True, added: tuple[tuple[str, int], ...] = ()) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset; on demand its ids."""
-    rows = stage(pieces(docs, key, text, capacity, vocabulary, keep_ids))
+    rows = stage(pieces(docs, key, text, capacity, vocabulary, keep_ids, added))
     spark = docs.sparkSession
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # At most one row per pair of a length and a gap: bounded by the capacity, not by the input.

@@ -46,7 +46,7 @@ def toxicity_model(spark: SparkSession, folder: str, max_rows: int = 20_000) ->
 
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), keep_ids=False)
+    return packing.pack(table(spark, folder, "documents"), keep_ids=False, added=packing.ADDED)
 
 
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tabwright.llm import packing
+import corpus_pipeline
+from tabwright.llm import packing, queries
 
 ODD = ["", " ", "\n\n  \n", "  lead and trail  ", "<|endoftext|> in text", "it's we'll I'D", "a b c", "日本語 テキスト ١٢٣ ²½", "é‍👩‍👩", "\x00\x07tab\tcr\r\n", "$$$!!!...", "x" * 5000]
 
@@ -42,6 +43,32 @@ def test_ids_of_any_text(text):
     assert packing.encoder(packing.default_vocabulary())(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def default():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150)
+@given(st.lists(st.one_of(st.text(max_size=20), st.sampled_from(["<|endoftext|>", " ", "\n", "<|", "endoftext|>"])), max_size=8))
+def test_added_tokens_are_recognised(default, parts):
+    text = "".join(parts).encode("utf-8", "replace").decode()
+    assert packing.encoder(packing.default_vocabulary(), packing.ADDED)(text) == default(text)
+
+
+def test_query_and_pipeline_recognise_added_tokens(spark, default, tmp_path):
+    texts = dict(enumerate([*ODD, "a<|endoftext|> in text", "two <|endoftext|> <|endoftext|>\n" * 300]))
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    whole = {i: default(t) + [packing.END] for i, t in texts.items()}
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    found = corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()
+    assert all(list(r["ids"]) == whole[r["doc_id"]][r["start"] : r["start"] + r["length"]] for r in found)
+    for r in [*found, *queries.op1_best_fit_packing(spark, str(tmp_path)).collect()]:
+        ids = whole[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert zlib.crc32(np.array(ids, "<u4").tobytes()) == r["ids_crc32"]
+    assert sum(r["length"] for r in found) == sum(map(len, whole.values()))
+
+
 @given(st.integers(1, 5000), st.integers(1, 700))
 def test_cuts(total, capacity):
     pieces = packing.cut(total, capacity)
