@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by inner product: a hash-prefix forest.
 
 Each tree gives every vector a long string of bits, the signs of random projections. In a tree's array of
-sorted strings, the vectors that share a prefix with a query lie side by side. A query descends to
-its longest matches in all trees and then ascends level by level, in all trees at once, until its ranges
-hold enough candidates; these are ranked by their exact inner product. How deep each query
-goes follows from a histogram of the strings' first bits over all vectors, of a size set by the parameters.
+sorted strings, the vectors that share a prefix with a query lie side by side. A query takes the longest prefix, of one
+length in all trees, whose ranges hold enough candidates; these are ranked by their exact inner product. How long it
+is follows from a histogram of the strings' first bits over all vectors, at most ``MOST_LEVELS`` of them: there is no descent
+to the longest matches, and no prefix is longer than that, so that ranges cannot be narrowed further on very large tables.
 
 How many candidates are enough is measured: a bounded number of sample queries is compared
 with all vectors, and the fewest candidates are taken that find the wanted share of their true neighbours.
