@@ -112,6 +112,17 @@ def index_order(t: Tables):
     return t.spark.createDataFrame([(label, i) for i, label in enumerate(labels)], "label string, place long")
 
 
+# Prices hardly depend on quantities, so that penalties score alike; without an intercept a line is far off at any size.
+_SETTINGS = {"regParam": [0.0], "elasticNetParam": [0.0], "fitIntercept": [False, True]}
+
+
+def _winner(model, scores: DataFrame) -> DataFrame:
+    """The score of the setting with which the model that a search returns was fitted, and its penalty."""
+    best = search.best_params(model, sorted(_SETTINGS))
+    whole, penalty = (", ".join(f"{name}={best[name]}" for name in names) for names in (best, ["elasticNetParam", "regParam"]))
+    return stats.round_doubles(scores.where(F.col("params") == whole).withColumn("params", F.lit(penalty)), 6)
+
+
 _SIDES = f"(SELECT ln(l_extendedprice) AS y, l_quantity AS x, {draw_sql(KEY_SQL, 43)} AS draw FROM lineitem)"
 
 
@@ -120,10 +131,11 @@ WITH sides AS {_SIDES}, line AS (SELECT regr_slope(y, x) AS a, regr_intercept(y,
 SELECT 'elasticNetParam=0.0, regParam=0.0' AS params, round(sqrt(avg(pow(y - a * x - b, 2))), 6) AS rmse_val
 FROM sides, line WHERE draw >= 8e-1""")
 def split_search(t: Tables):
+    """The winner of a search over several settings, by the model it leaves, and its score."""
     candidate = _small()["linear"]
-    grid = search.param_grid(candidate, {"regParam": [0.0], "elasticNetParam": [0.0]})
+    grid = search.param_grid(candidate, _SETTINGS)
     model = search.search_split(candidate.pipeline, grid, _lines(t), LABEL, KEY)
-    return stats.round_doubles(search.results(t.spark, grid, model.validationMetrics), 6)
+    return _winner(model, search.results(t.spark, grid, model.validationMetrics))
 
 
 @query("""
@@ -145,10 +157,11 @@ lines AS (SELECT f, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides,
 scores AS (SELECT f, sqrt(avg(pow(y - a * x - b, 2))) AS rmse FROM sides, lines WHERE fold = f GROUP BY f)
 SELECT 'elasticNetParam=0.0, regParam=0.0' AS params, round(avg(rmse), 6) AS rmse_cv FROM scores""")
 def fold_search(t: Tables):
+    """As ``split_search``, over three folds."""
     candidate = _small()["linear"]
-    grid = search.param_grid(candidate, {"regParam": [0.0], "elasticNetParam": [0.0]})
+    grid = search.param_grid(candidate, _SETTINGS)
     model = search.search_folds(candidate.pipeline, grid, _lines(t), LABEL, KEY, folds=3)
-    return stats.round_doubles(search.results(t.spark, grid, model.avgMetrics, "rmse_cv"), 6)
+    return _winner(model, search.results(t.spark, grid, model.avgMetrics, "rmse_cv"))
 
 
 @query(f"""SELECT 'l_quantity' AS feature, round({_SLOPE} * stddev_samp(l_quantity), 6) AS coef,
