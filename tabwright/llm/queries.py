@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import ann, html_extract, jaccard, langid, mixing, neardup, packing, sharding, toxicity, warc
+from tabwright.llm import (
+    ann, fim, html_extract, jaccard, langid, mixing, neardup, packing, sharding, token_counts, toxicity, warc, whitening,
+)
 from tabwright.llm.common import held_out
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -94,9 +96,23 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.transform(table(spark, folder, "documents"), unit="line", seed=7, rate=100, spm=50, keep_output=False)
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_counts.token_counts(table(spark, folder, "documents"), keep_counts=False)
+    return found.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"), most=4, steps=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_ngram_jaccard, op3_prefix_forest, op4_html_text, op5_cube_mixing, op6_toxicity, op7_jump_sharding, op8_embedding_neardup, op9_language_id, op10_warc,
+        op11_fill_in_middle, op12_token_counts, op13_embedding_whitening,
     )
 }
 ORACLES: dict[str, str] = {
@@ -109,4 +125,28 @@ ORACLES: dict[str, str] = {
                CASE WHEN first <> page_id THEN first END AS refers_to
         FROM rows LEFT JOIN firsts ON rows.digest = firsts.digest
     """,
+    "op11_fill_in_middle": """
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, string_split(text, chr(10)) AS parts, length(text) - length(replace(text, chr(10), '')) AS breaks,
+                   CAST('0x' || substr(hex, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hex, 9, 8) AS BIGINT) AS h2,
+                   CAST('0x' || substr(hex, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(hex, 25, 8) AS BIGINT) AS h4 FROM hashed
+        ), counted AS (
+            SELECT *, breaks + CASE WHEN text = '' OR ends_with(text, chr(10)) THEN 0 ELSE 1 END AS n FROM drawn
+        ), cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM counted
+        ), placed AS (
+            SELECT *, CASE WHEN a = 0 THEN 0 WHEN a > breaks THEN length(text) ELSE length(array_to_string(parts[1:a], chr(10))) + 1 END AS p,
+                   CASE WHEN b = 0 THEN 0 WHEN b > breaks THEN length(text) ELSE length(array_to_string(parts[1:b], chr(10))) + 1 END AS q,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || substr(text, 1, p) || '<S>' || substr(text, q + 1) || '<M>' || substr(text, p + 1, q - p)
+                      ELSE '<S>' || substr(text, q + 1) || '<P>' || substr(text, 1, p) || '<M>' || substr(text, p + 1, q - p) END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM placed
+    """,
 }
