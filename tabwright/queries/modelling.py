@@ -123,11 +123,12 @@ def _winner(model, scores: DataFrame) -> DataFrame:
     return stats.round_doubles(scores.where(F.col("params") == whole).withColumn("params", F.lit(penalty)), 6)
 
 
-_SIDES = f"(SELECT ln(l_extendedprice) AS y, l_quantity AS x, {draw_sql(KEY_SQL, 43)} AS draw FROM lineitem)"
+def _drawn(purpose: str) -> str:
+    return f"(SELECT ln(l_extendedprice) AS y, l_quantity AS x, {draw_sql(KEY_SQL, 42, purpose)} AS draw FROM lineitem)"
 
 
 @query(f"""
-WITH sides AS {_SIDES}, line AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides WHERE draw < 8e-1)
+WITH sides AS {_drawn('search')}, line AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides WHERE draw < 8e-1)
 SELECT 'elasticNetParam=0.0, regParam=0.0' AS params, round(sqrt(avg(pow(y - a * x - b, 2))), 6) AS rmse_val
 FROM sides, line WHERE draw >= 8e-1""")
 def split_search(t: Tables):
@@ -152,7 +153,7 @@ def refined_search(t: Tables):
 
 
 @query(f"""
-WITH sides AS (SELECT *, CAST(floor(draw * 3) AS INTEGER) AS fold FROM {_SIDES} AS d), folds AS (SELECT unnest([0, 1, 2]) AS f),
+WITH sides AS (SELECT *, CAST(floor(draw * 3) AS INTEGER) AS fold FROM {_drawn('fold')} AS d), folds AS (SELECT unnest([0, 1, 2]) AS f),
 lines AS (SELECT f, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides, folds WHERE fold <> f GROUP BY f),
 scores AS (SELECT f, sqrt(avg(pow(y - a * x - b, 2))) AS rmse FROM sides, lines WHERE fold = f GROUP BY f)
 SELECT 'elasticNetParam=0.0, regParam=0.0' AS params, round(avg(rmse), 6) AS rmse_cv FROM scores""")

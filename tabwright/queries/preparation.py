@@ -273,13 +273,13 @@ def global_median_impute(t: Tables):
 
 # --- sampling ---------------------------------------------------------------------------
 
-def _kept_sql(source: str, key: str, stratum: str, target: int, minimum: int) -> str:
+def _kept_sql(source: str, key: str, stratum: str, target: int, minimum: int, shown: str = "") -> str:
     return f"""
     base AS (SELECT *, {stratum} AS stratum FROM {source}),
     counts AS (SELECT stratum, count(*) AS n FROM base GROUP BY stratum),
     shares AS (SELECT stratum, least(1e0, greatest({target}e0 / (SELECT sum(n) FROM counts), {minimum}e0 / n)) AS share FROM counts),
-    drawn AS (SELECT * FROM base JOIN shares USING (stratum) WHERE {draw_sql(key, 42)} < share)
-    SELECT {key} FROM drawn WHERE {draw_sql(key, 43)} < {target}e0 / (SELECT count(*) FROM drawn)"""
+    drawn AS (SELECT * FROM base JOIN shares USING (stratum) WHERE {draw_sql(key, 42, 'sample')} < share)
+    SELECT {shown or key} FROM drawn WHERE {draw_sql(key, 42, 'thin')} < {target}e0 / (SELECT count(*) FROM drawn)"""
 
 
 @query("WITH " + _kept_sql("orders", "o_orderkey", "CAST(year(o_orderdate) AS VARCHAR) || '_' || o_orderstatus", 5000, 300))
@@ -288,15 +288,31 @@ def stratified_sample(t: Tables):
     return sample.stratified_sample(t.orders, stratum, ["o_orderkey"], 5000, 300).select("o_orderkey")
 
 
-@query(", valid AS (SELECT * FROM listings WHERE year IS NOT NULL AND price IS NOT NULL), " + _kept_sql(
-    "valid", "vin", "CASE WHEN year >= 2019 THEN 'recent' WHEN year >= 2014 THEN 'mid' ELSE 'old' END || '_' || "
-    "coalesce(trim(body_type), 'unknown')", 20000, 250))
+_STRATUM = ("CASE WHEN year >= 2019 THEN 'recent' WHEN year >= 2014 THEN 'mid' ELSE 'old' END || '_' || "
+            "coalesce(trim(body_type), 'unknown')")
+
+
+@query(", valid AS (SELECT * FROM listings WHERE year IS NOT NULL AND price IS NOT NULL), " + _kept_sql("valid", "vin", _STRATUM, 20000, 250))
 def stratified_listings(t: Tables):
     found = sample.stratified_sample(t.listings, v.age_body_stratum(), ["vin"], 20_000, 250, required=["year", "price"])
     return found.select("vin")
 
 
-_SIDES = f"SELECT o_orderkey, CASE WHEN {draw_sql('o_orderkey', 42)} < 8e-1 THEN 'train' ELSE 'test' END AS side FROM orders"
+@query(", valid AS (SELECT * FROM listings WHERE year IS NOT NULL AND price IS NOT NULL), subset AS (WITH "
+       + _kept_sql("valid", "vin", _STRATUM, 4000, 100, "vin, stratum") + f"""), sides AS (
+    SELECT stratum, CASE WHEN {draw_sql('vin', 42, 'split')} < 8e-1 THEN 'train' ELSE 'test' END AS side,
+           {draw_sql('vin', 42, 'validation')} < 2e-1 AS is_validation FROM subset)
+    SELECT stratum, side, is_validation, count(*) AS n FROM sides GROUP BY ALL""")
+def subset_sides(t: Tables):
+    """A stratified subset of a larger table, split and written, with the flags for validation: rows of each stratum and side."""
+    subset = sample.stratified_sample(t.listings, v.age_body_stratum(), ["vin"], 4_000, 100, required=["year", "price"])
+    sides = zip(("train", "test"), sample.split_or_load(t.spark, subset, t.new_path(), t.new_path(), ["vin"]))
+    both = [sample.add_validation_flag(side, ["vin"]).select(v.age_body_stratum().alias("stratum"), F.lit(name).alias("side"), "is_validation")
+            for name, side in sides]
+    return both[0].unionByName(both[1]).groupBy("stratum", "side", "is_validation").agg(F.count(F.lit(1)).alias("n"))
+
+
+_SIDES = f"SELECT o_orderkey, CASE WHEN {draw_sql('o_orderkey', 42, 'split')} < 8e-1 THEN 'train' ELSE 'test' END AS side FROM orders"
 
 
 @query(_SIDES)
@@ -315,7 +331,7 @@ def hash_split(t: Tables):
     return sides[0].unionByName(sides[1])
 
 
-@query(f"SELECT vin, {draw_sql('vin', 42)} < 2e-1 AS is_validation FROM listings")
+@query(f"SELECT vin, {draw_sql('vin', 42, 'validation')} < 2e-1 AS is_validation FROM listings")
 def validation_flag(t: Tables):
     return sample.add_validation_flag(t.listings, ["vin"]).select("vin", "is_validation")
 

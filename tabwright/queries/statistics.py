@@ -261,11 +261,11 @@ def top_name_words(t: Tables):
     return rank.top_options(t.part, "p_name", 10, 0.0, separator=" ", normalise=F.lower)
 
 
-DRAW = "CAST(CAST('0x' || substr(md5({key} || '|{seed}'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296e0"
+DRAW = "CAST(CAST('0x' || substr(md5({key} || '|{purpose}{seed}'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296e0"
 
 
-def draw_sql(key: str, seed: int) -> str:
-    return DRAW.format(key=f"CAST({key} AS VARCHAR)", seed=seed)
+def draw_sql(key: str, seed: int, purpose: str = "") -> str:
+    return DRAW.format(key=f"CAST({key} AS VARCHAR)", seed=seed, purpose=f"{purpose}:" if purpose else "")
 
 
 @query(f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {draw_sql('o_orderkey', 42)}, o_orderkey LIMIT 15")

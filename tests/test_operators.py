@@ -128,6 +128,28 @@ def test_exact_quantiles_of_groups(spark):
     assert [tuple(r) for r in nothing] == [(0, None)]
 
 
+def test_a_sampled_table_splits_like_any_other(spark):
+    """The share of the test side, of validation rows and of folds in each stratum of a sample, within four standard errors."""
+    df = spark.range(60_000).select("id", (F.col("id") % 3).alias("s"))
+    kept = sample.stratified_sample(df, F.col("s"), ["id"], 20_000, 500)
+    train, test = sample.split(kept, ["id"])
+    n, held = ({r["s"]: r["n"] for r in side.groupBy("s").agg(F.count("*").alias("n")).collect()} for side in (kept, test))
+    assert set(held) == {0, 1, 2}
+    for s, rows in n.items():
+        assert abs(held[s] / rows - 0.2) < 4 * math.sqrt(0.16 / rows)
+    for part, purpose in ((train, "validation"), (test, "search"), (train, "fold")):
+        total = part.count()
+        share = part.where(unit_draw(["id"], 42, purpose) < 0.2).count() / total
+        assert abs(share - 0.2) < 4 * math.sqrt(0.16 / total)
+
+
+def test_draws_for_different_purposes_are_independent(spark):
+    names = ["", "sample", "thin", "split", "search", "fold", "validation"]
+    draws = spark.range(40_000).select(*[unit_draw(["id"], 42, n).alias(f"d{i}") for i, n in enumerate(names)])
+    found = draws.agg(*[F.corr(f"d{i}", f"d{j}").alias(f"{i}_{j}") for i in range(len(names)) for j in range(i)]).head()
+    assert all(abs(c) < 4.5 / math.sqrt(40_000) for c in found)
+
+
 def test_rows_without_a_stratum_are_sampled_too(spark):
     df = spark.range(100).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("s"))
     assert sample.stratified_sample(df, F.col("s"), ["id"], 10**6).count() == 100
