@@ -2,70 +2,207 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.functions.numeric import DEFAULT_ACCURACY, quantiles
 from tabwright.sources.staging import stage
 
 #: Pass this as ``accuracy`` for quantiles that are exact.
 EXACT = None
+#: Accuracy of the sketches that bracket exact quantiles. Sketches are held per group and task; brackets are checked.
+BRACKETS = 1000
+#: Half widths of brackets in units of the sketch's error, tried in this order. A bracket without width takes in all values.
+WIDTHS = (2.0, 50.0, None)
+#: Parts into which the values of one bracket are divided before they are summed up in order.
+PARTS = 128
 
+Wanted = dict[str, tuple[Column | str, Sequence[float]]]
 
-def aggregate(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column], wanted: dict[str, tuple[Column | str, Sequence[float]]],
+
+def aggregate(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column], wanted: Wanted,
               accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Aggregates per group, with arrays of quantiles (name: values and probabilities).
 
-    With an accuracy the quantiles come from sketches, in the same pass as the rest. ``EXACT`` takes passes of
-    its own over the columns it needs.
+    With an accuracy the quantiles come from sketches, in the same pass as the rest. ``EXACT`` takes two passes of
+    its own over the columns it needs, and keeps their types.
     """
     if accuracy is not None:
         return rows.groupBy(*keys).agg(*aggs, *[quantiles(col, probs, accuracy).alias(name) for name, (col, probs) in wanted.items()])
-    keyed, names = (rows, list(keys)) if keys else (rows.withColumn("_all", F.lit(1)), ["_all"])
     # An empty table has no group, but still one row of statistics.
-    out = keyed.groupBy(*names).agg(*aggs, F.count(F.lit(1)).alias("_rows")) if keys else rows.agg(*aggs, F.lit(1).alias("_all"))
-    columns = {name: F.col(col) if isinstance(col, str) else col for name, (col, _) in wanted.items()}
-    kinds = dict(keyed.select(*[c.alias(name) for name, c in columns.items()]).dtypes)
-    # Columns of which the same quantiles are wanted go through the same passes, as rows.
-    for probs in dict.fromkeys(tuple(probs) for _, probs in wanted.values()):
-        chosen = [name for name, (_, p) in wanted.items() if tuple(p) == probs]
-        cells = keyed.select(*names, *[columns[name].cast("double").alias(name) for name in chosen])
-        long = cells.unpivot(names, chosen, "_name", "_x")
-        found = exact(long, [*names, "_name"], probs).groupBy(*names).agg(
-            F.map_from_entries(F.collect_list(F.struct("_name", "_q"))).alias("_found"))
-        out = _joined(out, found, names, "left")
+    out = rows.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_rows")) if keys else rows.agg(*aggs, F.lit(1).alias("_rows"))
+    cells = rows.select(*keys, *[_column(col).alias(name) for name, (col, _) in wanted.items()])
+    kinds = dict(cells.dtypes)
+    for kind, chosen in _by_kind(cells, wanted).items():
+        long = cells.select(*keys, *[F.col(c).cast(kind).alias(c) for c in chosen]).unpivot(list(keys), chosen, "_name", "_x")
+        found = select(long, keys, {name: wanted[name][1] for name in chosen})
+        named = F.map_from_entries(F.collect_list(F.struct("_name", "_q")))
+        if keys:
+            out = _joined(out, found.groupBy(*keys).agg(named.alias("_found")), keys)
+        else:
+            out = out.withColumn("_found", found.select(named).scalar())
         out = out.withColumns({name: F.col("_found")[name].cast(f"array<{kinds[name]}>") for name in chosen}).drop("_found")
-    return out.drop("_all", "_rows")
+    return out.drop("_rows").select(*[c for c in out.columns if c not in wanted and c != "_rows"], *wanted)
+
+
+def by_sets(rows: DataFrame, sets: Sequence[tuple[Sequence[str], Wanted]], accuracy: int | None = DEFAULT_ACCURACY) -> list[DataFrame]:
+    """For each of several (keys, quantiles) a frame of its keys and arrays, all from the same passes.
+
+    A row becomes a cell for each quantile column of each set, told apart by the set's number, like grouping sets.
+    """
+    every = list(dict.fromkeys(k for keys, _ in sets for k in keys))
+    columns = {f"_{i}_{name}": (i, name, col, probs) for i, (_, wanted) in enumerate(sets) for name, (col, probs) in wanted.items()}
+    types = {f.name: f.dataType for f in rows.select(*every).schema}
+    wide = rows.select(*every, *[_column(col).alias(c) for c, (_, _, col, _) in columns.items()])
+    kinds, found = dict(wide.dtypes), {}
+    keys = ["_set", *[f"_key{j}" for j in range(len(every))]]
+    for kind, chosen in _by_kind(wide, columns).items():
+        cells = [F.struct(
+            F.lit(columns[c][0]).alias("_set"),
+            *[(F.col(k) if k in sets[columns[c][0]][0] else F.lit(None).cast(types[k])).alias(f"_key{j}") for j, k in enumerate(every)],
+            F.lit(c).alias("_name"), F.col(c).cast(kind).alias("_x")) for c in chosen]
+        long = wide.select(F.inline(F.array(*cells)))
+        probs = {c: tuple(columns[c][3]) for c in chosen}
+        if accuracy is None:
+            found[kind] = select(long, keys, probs)
+        else:
+            union = sorted({p for own in probs.values() for p in own})
+            sketch = long.groupBy(*keys, "_name").agg(quantiles("_x", union, accuracy).alias("_all"))
+            own = {c: F.array(*[F.col("_all")[union.index(p)] for p in probs[c]]) for c in chosen}
+            found[kind] = stage(sketch.select(*keys, "_name", _chosen(own).alias("_q")))
+    out = []
+    for i, (own, wanted) in enumerate(sets):
+        frames = []
+        for kind, table in found.items():
+            named = {c: columns[c][1] for c in columns if columns[c][0] == i and _kind(wide.schema[c].dataType) == kind}
+            if named:
+                grouped = table.where(F.col("_set") == i).groupBy(*[F.col(f"_key{every.index(k)}").alias(k) for k in own])
+                frames.append(grouped.agg(*[F.first(F.when(F.col("_name") == c, F.col("_q")), ignorenulls=True).cast(f"array<{kinds[c]}>").alias(name)
+                                            for c, name in named.items()]))
+        if own:
+            out.append(reduce(lambda a, b: _joined(a, b, own, "full"), frames).select(*own, *wanted))
+        else:
+            out.append(reduce(lambda a, b: a.withColumns({c: b.select(c).scalar() for c in b.columns}), frames).select(*wanted))
+    return out
+
+
+def _column(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def _kind(kind: T.DataType) -> str:
+    """The type in which values are compared: no value of the column loses digits in it."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint"
+    return "double" if isinstance(kind, (T.FloatType, T.DoubleType)) else kind.simpleString()
+
+
+def _by_kind(df: DataFrame, names: Iterable[str]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for name in names:
+        out.setdefault(_kind(df.schema[name].dataType), []).append(name)
+    return out
+
 
+def _chosen(by_name: dict[str, Column]) -> Column:
+    return F.coalesce(*[F.when(F.col("_name") == name, value) for name, value in by_name.items()])
 
-def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """A join on keys that may be null."""
     other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys]
-    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+    joined = left.join(other, same, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"_right_{k}")) for k in keys})
+    return joined.drop(*[f"_right_{k}" for k in keys])
 
 
-def exact(rows: DataFrame, keys: Sequence[str], probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Exact quantiles of ``_x`` per group as an array ``_q``, for groups of any size.
+def select(cells: DataFrame, keys: Sequence[str], wanted: dict[str, Sequence[float]]) -> DataFrame:
+    """Exact quantiles of cells (keys, ``_name``, ``_x``) as rows (keys, ``_name``, ``_q``), for groups of any size.
 
-    A sketch brackets each quantile: its error in rank is at most n / accuracy. One pass counts the rows
-    below a bracket, and the distinct values inside it with their counts, combined before the shuffle. A running
-    sum over that small part finds the value of the wanted rank. No group is sorted or held as a whole.
+    A sketch brackets each quantile. One more pass counts the cells between the brackets and the distinct values inside them, combined
+    before the shuffle. The counts prove whether the wanted rank lies inside a bracket; where it does not, the pass is
+    repeated with wider ones. Within a bracket, values are summed up by parts first and then inside one part, so that no task goes
+    through all of them in order. No group is sorted or held as a whole.
     """
-    known = rows.where("_x IS NOT NULL").select(*keys, "_x")
-    m, slack = len(probs), 2.0 / accuracy
-    around = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    brackets = stage(known.groupBy(*keys).agg(F.count("_x").alias("_n"), quantiles("_x", around, accuracy).alias("_b")))
-    placed = _joined(known, brackets, keys, "inner")
-    inside = F.filter(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: (F.col("_x") >= F.element_at("_b", i + 1)) & (F.col("_x") <= F.element_at("_b", i + m + 1)))
-    below = placed.groupBy(*keys).agg(F.array(*[F.count_if(F.col("_x") < F.col("_b")[i]) for i in range(m)]).alias("_below"))
-    values = placed.select(*keys, "_n", "_x", F.explode(inside).alias("_i")).groupBy(*keys, "_n", "_i", "_x").agg(F.count("*").alias("_count"))
-    values = _joined(values, below, keys, "inner")
-    running = F.sum("_count").over(Window.partitionBy(*keys, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
-    rank = F.greatest(F.lit(1), F.ceil(F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1) * F.col("_n")))
-    reached = values.withColumn("_rank", F.element_at("_below", F.col("_i") + 1) + running).where(F.col("_rank") >= rank)
-    first = reached.groupBy(*keys, "_i").agg(F.min("_x").alias("_x"))
-    ordered = F.array_sort(F.collect_list(F.struct("_i", "_x")))
-    return first.groupBy(*keys).agg(F.transform(ordered, lambda s: s["_x"]).alias("_q"))
+    # One column for the group: null keys are equal in it.
+    known = cells.where(F.col("_x").isNotNull()).select(F.struct(*keys, "_name").alias("_g"), "_x")
+    wanted = {name: tuple(probs) for name, probs in wanted.items()}
+    out, left = None, known
+    for width in WIDTHS:
+        counts = stage(_counts(left, wanted, width))
+        found = stage(_ranked(counts, wanted))
+        missed = found.where("NOT _kept").select("_g").distinct()
+        sure = found if out is None else out.unionByName(found)
+        if width is None or not missed.head(1):
+            out = sure
+            break
+        missed = stage(missed)
+        out = sure.join(missed, "_g", "left_anti")
+        left = known.join(missed, "_g", "left_semi")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_v"))), lambda s: s["_v"])
+    grouped = out.groupBy("_g").agg(ordered.alias("_found"))
+    # Probabilities are counted in the order in which they were asked for.
+    return grouped.select("_g.*", F.col("_found").alias("_q"))
+
+
+def _brackets(known: DataFrame, wanted: dict[str, tuple[float, ...]], width: float) -> DataFrame:
+    """Lower and upper ends around each quantile of a group, in rising order."""
+    slack = width / BRACKETS
+    union = sorted({p for probs in wanted.values() for p in probs})
+    around = [max(0.0, p - slack) for p in union] + [min(1.0, p + slack) for p in union]
+    sketch = known.groupBy("_g").agg(quantiles("_x", around, BRACKETS).alias("_b"))
+    sketch = sketch.select("_g", F.col("_g._name").alias("_name"), "_b")
+
+    def ends(shift: int) -> Column:
+        return _chosen({name: F.array(*[F.col("_b")[union.index(p) + shift] for p in sorted(probs)]) for name, probs in wanted.items()})
+
+    low, high = ends(0), ends(len(union))
+    if known.schema["_x"].dataType == T.LongType():
+        # Sketches hold doubles: the ends of a bracket are moved by what these leave out.
+        low = F.transform(low, lambda x: F.coalesce(F.try_subtract(x, F.abs(F.shiftright(x, 50)) + 1), x))
+        high = F.transform(high, lambda x: F.coalesce(F.try_add(x, F.abs(F.shiftright(x, 50)) + 1), x))
+    return stage(sketch.select("_g", low.alias("_low"), high.alias("_high")))
+
+
+def _counts(known: DataFrame, wanted: dict[str, tuple[float, ...]], width: float | None) -> DataFrame:
+    """How many cells lie in each zone: per value inside a bracket (``_kept``), in one number behind it.
+
+    Zone z holds what reaches z of the lower ends. Within a zone, values in the bracket come before those behind it.
+    """
+    if width is None:
+        placed = known.select("_g", F.lit(0).alias("_z"), F.lit(True).alias("_kept"), "_x")
+    else:
+        most = max(map(len, wanted.values()))
+        joined = known.join(_brackets(known, wanted, width), "_g")
+        zone = reduce(lambda a, b: a + b, [F.coalesce((F.col("_x") >= F.get("_low", F.lit(i))).cast("int"), F.lit(0)) for i in range(most)])
+        zoned = joined.select("_g", "_x", "_high", zone.alias("_z"))
+        kept = F.coalesce(F.col("_x") <= F.get("_high", F.col("_z") - 1), F.lit(False))
+        placed = zoned.select("_g", "_z", kept.alias("_kept"), F.when(kept, F.col("_x")).alias("_x"))
+    return placed.groupBy("_g", "_z", "_kept", "_x").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _ranked(counts: DataFrame, wanted: dict[str, tuple[float, ...]]) -> DataFrame:
+    """The value of each wanted rank: (``_g``, ``_i``, ``_v``, ``_kept``); without a value where no bracket holds the rank."""
+    cuts = counts.where("_kept").groupBy("_g", "_z").agg(quantiles("_x", [i / PARTS for i in range(1, PARTS)], BRACKETS).alias("_cuts"))
+    part = F.when(F.col("_kept"), F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).otherwise(PARTS)
+    parted = counts.join(cuts, ["_g", "_z"], "left").select("_g", "_z", part.alias("_part"), "_kept", "_x", "_n")
+    # Sums of a group's parts in order, which are few whatever its size, and then of the values of one part each.
+    parts = parted.groupBy("_g", "_z", "_part", "_kept").agg(F.sum("_n").alias("_n"))
+    group = Window.partitionBy("_g").orderBy("_z", "_part")
+    parts = parts.select("_g", "_z", "_part", "_kept", "_n", F.sum("_n").over(group).alias("_end"),
+                         F.sum("_n").over(Window.partitionBy("_g")).alias("_all"), F.col("_g._name").alias("_name"))
+    ranks = _chosen({name: F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(float(p)) * F.col("_all"))).alias("_rank")) for i, p in enumerate(probs)])
+        for name, probs in wanted.items()})
+    asked = parts.select("_g", "_z", "_part", "_kept", "_n", "_end", F.inline(ranks)).where("_rank <= _end AND _rank > _end - _n")
+    asked = asked.select("_g", "_z", "_part", F.col("_kept").alias("_found"), "_i", F.expr("_rank - _end + _n").alias("_rank"))
+    reached = F.sum("_n").over(Window.partitionBy("_g", "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    summed = parted.join(asked, ["_g", "_z", "_part"]).withColumn("_reached", reached)
+    met = summed.where("NOT _found OR (_rank <= _reached AND _rank > _reached - _n)")
+    return met.select("_g", "_i", F.col("_x").alias("_v"), F.col("_found").alias("_kept"))

@@ -128,6 +128,38 @@ def test_exact_quantiles_of_groups(spark):
     assert [tuple(r) for r in nothing] == [(0, None)]
 
 
+@pytest.mark.parametrize("widths", [quantile.WIDTHS, (1e-9, None), (0.0, 1.0, None)])
+def test_exact_quantiles_of_wide_types_and_after_missed_brackets(spark, monkeypatch, widths):
+    """Brackets without width miss their quantiles: the counts show it, and wider ones follow."""
+    monkeypatch.setattr(quantile, "WIDTHS", widths)
+    values = [("a" if i % 3 else None, 2**53 + i, i % 7, float(i * i % 997) if i % 5 else -1e300) for i in range(5000)]
+    df = spark.createDataFrame(values, "g string, b long, n int, x double").withColumn("d", F.expr("CAST(b AS DECIMAL(30, 2)) * 3"))
+    probs = (0.99, 0.0, 0.5, 1.0)
+    wanted = {"b": ("b", probs), "n": ("n", (0.25,)), "x": ("x", probs), "d": ("d", (0.1, 0.9))}
+    for keys in ([], ["g"]):
+        for row in quantile.aggregate(df, keys, [F.count("*").alias("c")], wanted, quantile.EXACT).collect():
+            own = [v for v in values if not keys or v[0] == row["g"]]
+            for name, at, scale in (("b", 1, 1), ("n", 2, 1), ("x", 3, 1), ("d", 1, 3)):
+                known = sorted(v[at] for v in own)
+                assert row[name] == [scale * known[max(1, math.ceil(p * len(known))) - 1] for p in wanted[name][1]]
+            assert row["c"] == len(own)
+
+
+def test_quantiles_of_several_sets(spark):
+    values = [(i % 3 or None, f"k{i % 2}", float(i * 37 % 101), i if i % 4 else None) for i in range(900)]
+    df = spark.createDataFrame(values, "a int, b string, x double, y long")
+    sets = [([], {"x": ("x", (0.5,)), "y": ("y", (0.5,))}), (["a"], {"x": ("x", (0.25, 0.75))}), (["a", "b"], {"y": ("y", (0.9,)), "x": ("x", (0.1,))})]
+    for accuracy in (quantile.EXACT, 10_000):
+        for frame, (keys, wanted) in zip(quantile.by_sets(df, sets, accuracy), sets, strict=True):
+            rows = frame.collect()
+            assert frame.columns == [*keys, *wanted] and len(rows) == (6 if len(keys) == 2 else 3 if keys else 1)
+            for row in rows:
+                own = [v for v in values if all(v["ab".index(k)] == row[k] for k in keys)]
+                for name, (_, probs) in wanted.items():
+                    known = sorted(v["abxy".index(name)] for v in own if v["abxy".index(name)] is not None)
+                    assert row[name] == [known[max(1, math.ceil(p * len(known))) - 1] for p in probs]
+
+
 def test_a_sampled_table_splits_like_any_other(spark):
     """The share of the test side, of validation rows and of folds in each stratum of a sample, within four standard errors."""
     df = spark.range(60_000).select("id", (F.col("id") % 3).alias("s"))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.operators import caps, impute, outliers, profile, rank, sample, shape, stats
+from tabwright.operators import caps, impute, outliers, profile, quantile, rank, sample, shape, stats
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -62,6 +62,24 @@ def test_fitted_tables_join_without_shuffling_the_rows(lineitem):
         assert "hashpartitioning" not in main and "SortMergeJoin" not in main
 
 
+def test_all_blocks_of_medians_take_two_scans(spark, lineitem, monkeypatch):
+    """A sketch and a count for four blocks, the whole and a cap; no join without keys, and no window over a whole bracket."""
+    plans, staged = [], quantile.stage
+
+    def seen(df, *given):
+        plans.append(plan(df))
+        return staged(df, *given)
+
+    monkeypatch.setattr(quantile, "stage", seen)
+    blocks = [(["l_tax", "l_discount"], ["l_returnflag"]), (["l_quantity"], ["l_returnflag", "l_linestatus"]), (["l_extendedprice"], ["l_linestatus"])]
+    fitted, (caps_,) = impute.fit_with(lineitem, blocks, [(["l_linenumber"], {"cap": ("l_tax", (0.99,))})], quantile.EXACT)
+    assert len(fitted) == 3 and caps_.count() == lineitem.select("l_linenumber").distinct().count()
+    assert sum("lineitem.parquet" in p for p in plans) == 2
+    assert not any("NestedLoop" in p or "Cartesian" in p for p in plans)
+    ranked = [p for p in plans if "_part" in p]
+    assert ranked and all("_g#" in p and "_i#" in p for p in ranked)
+
+
 def test_one_subquery_serves_all_global_medians(lineitem):
     fitted = impute.fit_group_medians(lineitem, ["l_tax", "l_discount", "l_quantity"], ["l_returnflag"])
     found = plan(impute.impute_group_medians(lineitem, fitted))
