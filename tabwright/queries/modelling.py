@@ -224,10 +224,11 @@ def model_selection(t: Tables):
     """
     prepared = modelling.usable_rows(prepare(t.listings, keep=["vin"]))
     train, test = modelling.modelling_split(t.spark, prepared, t.new_path(), t.new_path(), ["vin"])
-    models = modelling.train_candidates(train, ["vin"], parallelism=4)
-    selection = modelling.select(models, test)
+    models = modelling.train_candidates(train, ["vin"])
+    selection = modelling.select(models, test, train)
+    winner = selection.metrics.where(F.col("model") == selection.best)
     return modelling.error_report(selection, test, ["vin"])["summary"].withColumns(
-        {"model": F.lit(selection.best), "n_models": F.lit(len(models))})
+        {"model": F.lit(selection.best), "n_models": F.lit(len(models))} | {c: winner.select(c).scalar() for c in ("r2", "r2_train", "overfit")})
 
 
 # --- columns ----------------------------------------------------------------------------
