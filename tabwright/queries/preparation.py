@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.draw import unit_draw
 from tabwright.functions.geo import haversine_miles
 from tabwright.operators import caps, features, impute, rank, sample, stats
+from tabwright.operators.nearest import nearest
 from tabwright.plans import vehicles as v
 from tabwright.plans.prepare import load_or_prepare, prepare, prepare_split
 from tabwright.queries.registry import query, rnd, union
@@ -271,6 +272,27 @@ def global_median_impute(t: Tables):
     return found.select("vin", "vehicle_age_at_listing")
 
 
+# --- many centres -----------------------------------------------------------------------
+
+# Places that both engines derive from keys; every order stands for a centre, every customer for a vehicle.
+_CENTRES = ("o_orderkey AS id", "25e0 + CAST(o_orderkey * 7919 % 240007 AS DOUBLE) / 1e4 AS latitude",
+            "-124e0 + CAST(o_orderkey * 104729 % 580003 AS DOUBLE) / 1e4 AS longitude")
+_VEHICLES = ("c_custkey", "CASE WHEN c_custkey % 53 > 0 THEN 25e0 + CAST(c_custkey * 37 % 2400 AS DOUBLE) / 1e2 END AS latitude",
+             "-124e0 + CAST(c_custkey * 101 % 5800 AS DOUBLE) / 1e2 AS longitude")
+_APART = "pow(sin(radians(c.latitude - v.latitude) / 2), 2) + cos(radians(v.latitude)) * cos(radians(c.latitude)) * pow(sin(radians(c.longitude - v.longitude) / 2), 2)"
+
+
+@query(f"""
+WITH centres AS (SELECT {', '.join(_CENTRES)} FROM orders), vehicles AS (SELECT {', '.join(_VEHICLES)} FROM customer),
+best AS (SELECT c_custkey, min(struct_pack(miles := asin(least(1e0, sqrt({_APART}))) * {2 * 3958.8}e0, id := c.id)) AS found
+         FROM vehicles AS v, centres AS c WHERE v.latitude IS NOT NULL GROUP BY c_custkey)
+SELECT c_custkey, found.id AS nearest, round(found.miles, 6) AS miles FROM vehicles LEFT JOIN best USING (c_custkey)""")
+def nearest_centre(t: Tables):
+    """The nearest of as many centres as there are orders, for every customer."""
+    found = nearest(t.customer.selectExpr(*_VEHICLES), t.orders.selectExpr(*_CENTRES), "c_custkey", "id")
+    return found.withColumn("miles", F.round("miles", 6))
+
+
 # --- sampling ---------------------------------------------------------------------------
 
 def _kept_sql(source: str, key: str, stratum: str, target: int, minimum: int, shown: str = "") -> str:

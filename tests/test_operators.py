@@ -1,12 +1,13 @@
 """Operators on small frames: null keys, ties, single rows, constants and empty input."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabwright.functions.draw import unit_draw
-from tabwright.operators import caps, features, impute, outliers, profile, quantile, rank, sample, shape, stats
+from tabwright.operators import caps, features, impute, nearest, outliers, profile, quantile, rank, sample, shape, stats
 
 
 def rows(df, *order):
@@ -145,6 +146,38 @@ def test_exact_quantiles_of_wide_types_and_after_missed_brackets(spark, monkeypa
             assert row["c"] == len(own)
 
 
+def _miles(a, b):
+    (p, q), (r, s) = (map(math.radians, place) for place in (a, b))
+    chord = math.sin((r - p) / 2) ** 2 + math.cos(p) * math.cos(r) * math.sin((s - q) / 2) ** 2
+    return math.asin(min(1.0, math.sqrt(chord))) * 2 * 3958.8
+
+
+@pytest.mark.parametrize("cell", [None, 0.5, 0.003])
+def test_nearest_centres_across_poles_and_the_date_line(spark, cell):
+    draw = random.Random(3)
+    centres = [(i, draw.uniform(-90, 90), draw.uniform(-180, 180)) for i in range(120)] + [(500, 89.9, 10.0), (501, -90.0, 0.0), (502, 0.0, 180.0), (503, 0.0, -180.0)]
+    centres += [(600 + i, 41.0 + i / 1e4, 2.0) for i in range(60)] + [(900, None, 1.0), (7, centres[7][1], centres[7][2])]
+    rows = [(i, draw.uniform(-90, 90), draw.uniform(-180, 180)) for i in range(150)] + [(900 + i, 41.0 + i / 997, 2.0) for i in range(40)]
+    rows += [(2000, 0.0, 179.9999), (2001, 90.0, 77.0), (2002, None, 3.0), (2003, 1.0, None), (2004, -89.0, 180.0)]
+    kind = "k long, latitude double, longitude double"
+    found = nearest.nearest(spark.createDataFrame(rows, kind), spark.createDataFrame(centres, kind), "k", "k", cell=cell).collect()
+    assert len(found) == len(rows)
+    places = [(k, (a, b)) for k, a, b in centres if a is not None]
+    for k, lat, lon in rows:
+        row = next(r for r in found if r["k"] == k)
+        if lat is None or lon is None:
+            assert row["nearest"] is None and row["miles"] is None
+            continue
+        miles, best = min((_miles((lat, lon), place), i) for i, place in places)
+        assert row["miles"] == pytest.approx(miles, abs=1e-5)
+        assert row["nearest"] == best or _miles((lat, lon), dict(places)[row["nearest"]]) == pytest.approx(miles, abs=1e-5)
+
+
+def test_no_centres(spark):
+    rows = spark.createDataFrame([(1, 2.0, 3.0)], "k long, latitude double, longitude double")
+    assert nearest.nearest(rows, rows.limit(0), "k", "k").collect() == [(1, None, None)]
+
+
 def test_quantiles_of_several_sets(spark):
     values = [(i % 3 or None, f"k{i % 2}", float(i * 37 % 101), i if i % 4 else None) for i in range(900)]
     df = spark.createDataFrame(values, "a int, b string, x double, y long")
