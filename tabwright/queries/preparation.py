@@ -428,7 +428,7 @@ def cached_listings(t: Tables):
     listings = t.listings
     listings.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(raw)
     load_or_prepare(t.spark, raw, copy, final, schema=listings.schema, accuracy=ACCURACY)
-    again = load_or_prepare(t.spark, f"{raw}-absent", f"{copy}-absent", final)
+    again = load_or_prepare(t.spark, f"{raw}-absent", f"{copy}-absent", final, accuracy=ACCURACY)
     make = F.trim(F.coalesce("make_name", F.lit(""))).alias("make")  # CSV does not tell blanks from nulls
     return again.groupBy(make).agg(F.count(F.lit(1)).alias("n"))
 
