@@ -142,6 +142,11 @@ def coordinate_action(quality: Column) -> Column:
                    (quality == "acceptable", "impute_nulls")], "do_not_use")
 
 
+def coordinate_features(quality: Column) -> Column:
+    return ladder([(quality == "excellent", "geohash_6_8, urban_distance, clusters"), (quality == "good", "geohash_5_6, region, clusters"),
+                   (quality == "acceptable", "region, has_coordinates")], "from_city_or_postcode")
+
+
 def place_quality(null_pct: Column, distinct: Column) -> Column:
     fill = ladder([(null_pct < 10, "complete"), (null_pct < 30, "good")], "incomplete")
     size = ladder([(distinct <= 100, "low"), (distinct <= 5000, "high")], "very_high")
@@ -154,10 +159,23 @@ def place_action(null_pct: Column, distinct: Column) -> Column:
          (null_pct < 60, "group_and_frequency")], "presence_flag")
 
 
+def place_features(action: Column, name: str) -> Column:
+    return ladder([(action == "one_hot", f"{name}_one_hot, region"), (action == "target_or_frequency", f"{name}_frequency, urban_level"),
+                   (action == "group_and_frequency", f"{name}_hash, region")], f"has_{name}")
+
+
 def geo_strategy(valid_pct: Column, city_null_pct: Column) -> Column:
     return ladder([(valid_pct >= 80, "coordinates_first"), (city_null_pct < 30, "places_first")], "enrichment_needed")
 
 
+# What can be derived from a listing's date, model year and days on the market.
+TEMPORAL_FEATURES = {
+    "date": "listed_year, listed_month, listed_quarter, listed_weekday",
+    "year": "vehicle_age_at_listing",
+    "days": "fast_turnover, slow_turnover",
+}
+
+
 def date_action(null_pct: Column) -> Column:
     return ladder([(null_pct < 20, "keep_and_derive"), (null_pct < 50, "keep_with_caution")], "limited_use")
 

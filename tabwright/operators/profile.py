@@ -327,7 +327,7 @@ def redundant_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFram
 
 def geo_quality(df: DataFrame, lat: str = "latitude", lon: str = "longitude", city: str = "city",
                 postcode: str = "dealer_zip") -> DataFrame:
-    """One row on the quality of coordinates and place names, with a strategy."""
+    """One row on the quality of coordinates and place names, with a strategy and features that suit it."""
     y, x = F.col(lat), F.col(lon)
     wide = df.agg(
         F.count(F.lit(1)).alias("n_total"),
@@ -355,12 +355,13 @@ def geo_quality(df: DataFrame, lat: str = "latitude", lon: str = "longitude", ci
            for p in ("city", "postcode")},
         **{f"{p}_action": labels.place_action(F.col(f"null_{p}_pct"), F.col(f"{p}_distinct"))
            for p in ("city", "postcode")},
-    })
+        "coordinate_features": labels.coordinate_features(F.col("coordinate_quality")),
+    }).withColumns({f"{p}_features": labels.place_features(F.col(f"{p}_action"), p) for p in ("city", "postcode")})
 
 
 def temporal_profile(df: DataFrame, date: str = "listed_date", year: str = "year",
                      days: str = "daysonmarket") -> DataFrame:
-    """One row: nulls, ranges, impossible values, distinct years and months, and actions."""
+    """One row: nulls, ranges, impossible values, distinct years and months, actions and features to derive."""
     when, model_year, elapsed = F.col(date), F.col(year), F.col(days)
     # The distinct years and months of a date column are few, so sets of them stay small.
     wide = df.agg(
@@ -385,6 +386,7 @@ def temporal_profile(df: DataFrame, date: str = "listed_date", year: str = "year
         "year_action": labels.counted_action(F.col("null_year_pct"), F.col("invalid_year"), "review_or_drop"),
         "days_action": labels.counted_action(F.col("null_days_pct"), F.col("negative_days"), "limited_use"),
         "strategy": labels.temporal_strategy(F.col("null_date_pct"), F.col("null_year_pct")),
+        **{f"{part}_features": F.lit(names) for part, names in labels.TEMPORAL_FEATURES.items()},
     })
 
 

@@ -62,6 +62,7 @@ def profile_listings(df: DataFrame, key: Sequence[str] = ("vin",), accuracy: int
         "top_prices_by_make": rank.top_rows_per_category(df, "make_name", price, 15, 5, v.TOP_ROW_CONTEXT, key),
         "price_by_region": by(price, "geo_region", placed).orderBy(F.desc("median_price")),
         "price_by_proximity": levels,
+        "all_prices_by_proximity": by(price, "urban_level", placed, positive=False).orderBy(F.desc("median_price")),
         "price_iqr": stats.global_iqr(df, price, True, a),
         "price_outliers": by_make,
         "price_outlier_summary": outliers.summarize_outliers(by_make, price, ["make_name"], accuracy=a),

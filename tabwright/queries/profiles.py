@@ -347,8 +347,15 @@ def column_status(t: Tables):
     return profile.column_status(t.listings, ["is_new", "price", "nowhere"], "boolean")
 
 
-_STRINGS = [c for c, kind in KINDS.items() if kind == "string"]
-_PAIRS = profile.redundant_pairs_by_name(_STRINGS)
+# Text columns of the listings that share a word, written out: the query finds them by itself.
+_PAIRS = (
+    ("back_legroom", "front_legroom"), ("bed", "bed_height"), ("bed", "bed_length"), ("bed_height", "bed_length"), ("bed_height", "height"),
+    ("bed_length", "length"), ("body_type", "engine_type"), ("body_type", "fuel_type"), ("engine_cylinders", "engine_type"), ("engine_type", "fuel_type"),
+    ("exterior_color", "interior_color"), ("exterior_color", "listing_color"), ("franchise_make", "make_name"), ("fuel_tank_volume", "fuel_type"),
+    ("interior_color", "listing_color"), ("make_name", "model_name"), ("make_name", "sp_name"), ("make_name", "trim_name"), ("model_name", "sp_name"),
+    ("model_name", "trim_name"), ("sp_name", "trim_name"), ("transmission", "transmission_display"), ("transmission_display", "wheel_system_display"),
+    ("wheel_system", "wheel_system_display"),
+)
 
 
 def _pair_row(a: str, b: str) -> str:
@@ -371,7 +378,8 @@ SELECT column_1, column_2, comparable, equal, distinct_1, distinct_2, round(mp,
        {case(("relation = 'high'", 'drop_one'), ("relation = 'possible'", 'review'), ("relation = 'partial'", 'analyse'),
              otherwise='keep')} AS action FROM l""")
 def redundant_pairs(t: Tables):
-    return stats.round_doubles(profile.redundant_pairs(t.listings, _PAIRS), 6)
+    texts = [c for c, kind in t.listings.dtypes if kind == "string"]
+    return stats.round_doubles(profile.redundant_pairs(t.listings, profile.redundant_pairs_by_name(texts)), 6)
 
 
 # --- geography and time -----------------------------------------------------------------
@@ -384,7 +392,10 @@ def _place(p: str) -> str:
     action = case((f"null_{p}_pct < 30 AND {p}_distinct <= 100", "one_hot"),
                   (f"null_{p}_pct < 30 AND {p}_distinct <= 5000", "target_or_frequency"),
                   (f"null_{p}_pct < 60", "group_and_frequency"), otherwise="presence_flag")
-    return f"({fill}) || '_' || ({size}) AS {p}_quality, {action} AS {p}_action"
+    features = case((f"null_{p}_pct < 30 AND {p}_distinct <= 100", f"{p}_one_hot, region"),
+                    (f"null_{p}_pct < 30 AND {p}_distinct <= 5000", f"{p}_frequency, urban_level"),
+                    (f"null_{p}_pct < 60", f"{p}_hash, region"), otherwise=f"has_{p}")
+    return f"({fill}) || '_' || ({size}) AS {p}_quality, {action} AS {p}_action, {features} AS {p}_features"
 
 
 @query(f"""
@@ -403,6 +414,8 @@ q AS (SELECT *, {case(('valid_pct >= 95 AND null_island_pct < 0.5', 'excellent')
                       ('valid_pct >= 50', 'acceptable'), otherwise='poor')} AS coordinate_quality FROM p)
 SELECT *, {case(("coordinate_quality = 'excellent'", 'use_directly'), ("coordinate_quality = 'good'", 'clean_anomalies'),
                 ("coordinate_quality = 'acceptable'", 'impute_nulls'), otherwise='do_not_use')} AS coordinate_action,
+       {case(("coordinate_quality = 'excellent'", 'geohash_6_8, urban_distance, clusters'), ("coordinate_quality = 'good'", 'geohash_5_6, region, clusters'),
+             ("coordinate_quality = 'acceptable'", 'region, has_coordinates'), otherwise='from_city_or_postcode')} AS coordinate_features,
        {case(('valid_pct >= 80', 'coordinates_first'), ('null_city_pct < 30', 'places_first'),
              otherwise='enrichment_needed')} AS strategy, {_place('city')}, {_place('postcode')} FROM q""")
 def geo_quality(t: Tables):
@@ -423,7 +436,8 @@ SELECT *, {case(('null_date_pct < 20', 'keep_and_derive'), ('null_date_pct < 50'
   {case(('null_year_pct < 20 AND invalid_year = 0', 'keep'), ('null_year_pct < 40', 'keep_with_review'), otherwise='review_or_drop')} AS year_action,
   {case(('null_days_pct < 20 AND negative_days = 0', 'keep'), ('null_days_pct < 40', 'keep_with_review'), otherwise='limited_use')} AS days_action,
   {case(('null_date_pct < 20 AND null_year_pct < 20', 'keep_all'), ('null_date_pct < 40 OR null_year_pct < 40', 'keep_partly'),
-        otherwise='review')} AS strategy FROM p""")
+        otherwise='review')} AS strategy, 'listed_year, listed_month, listed_quarter, listed_weekday' AS date_features,
+  'vehicle_age_at_listing' AS year_features, 'fast_turnover, slow_turnover' AS days_features FROM p""")
 def temporal_profile(t: Tables):
     return stats.round_doubles(profile.temporal_profile(t.listings), 6)
 
