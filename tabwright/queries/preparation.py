@@ -433,9 +433,18 @@ def cached_listings(t: Tables):
     return again.groupBy(make).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+# The same preparation with every limit, median and cap taken from the train side alone.
+_TRAIN = f"{draw_sql('vin', 42, 'split')} < 8e-1"
+_TRAINED_LIMITS = f"{THRESHOLDS}, {USAGE_CAP}, {DAYS_CAP}".replace("FROM listings", "FROM trained")
+_TRAINED = (_CLEANED.replace("FROM cleaned", "FROM learnt").replace("FROM learnt LEFT JOIN caps", "FROM cleaned LEFT JOIN caps")
+            .replace("FROM listings, limits),", f"FROM listings, limits),\nlearnt AS (SELECT * FROM cleaned WHERE {_TRAIN}),")
+            .replace("FROM kept)", f"FROM kept WHERE {_TRAIN})"))
+
+
+@query(f", trained AS (SELECT * FROM listings WHERE {_TRAIN}), {_TRAINED_LIMITS}, {_TRAINED}, prepared AS ({_PREPARED}) "
+       f"SELECT *, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS side FROM prepared")
 def prepare_without_leakage(t: Tables):
     train, test = sample.split(t.listings, ["vin"])
     sides = prepare_split(train, test, accuracy=ACCURACY, keep=["vin"])
     train, test = (df.withColumn("side", F.lit(name)) for df, name in zip(sides, ("train", "test")))
-    return train.unionByName(test)
+    return train.unionByName(test).withColumns({c: F.round(c, 6) for c in ("power_density", "log_price")})
