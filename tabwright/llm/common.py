@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.sources.staging import stage
 
-__all__ = ["BLOCK", "documents_of", "held_out", "mix64", "placed", "stage", "text_blocks", "utf8"]
+__all__ = ["BLOCK", "documents_of", "held_out", "mix64", "placed", "stage", "text_blocks", "unused", "utf8"]
 
 #: Bytes of text that numpy works on at a time: temporaries then stay in the cache.
 BLOCK = 1 << 20
@@ -23,6 +23,17 @@ def held_out(key: Column, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
+def unused(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from all columns."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finalizer of splitmix64 over an array of unsigned 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

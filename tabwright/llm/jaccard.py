@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import documents_of, mix64, stage, text_blocks, utf8
+from tabwright.llm.common import documents_of, mix64, stage, text_blocks, unused, utf8
 from tabwright.llm.components import connected
 
 #: Counters of the table of shingle counts, as a power of two, and per row of it.
@@ -410,9 +410,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     _, nodes, roots = _connected_nodes(docs, key, text, words, threshold, marked=True)
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = placed.groupBy("root").agg(F.min(_in_order("node", "mark")).alias("first"))
-    kept = first.select(F.col("first.id").alias("__kept"), F.col("first.mark").alias("__kept_mark"))
     body = F.col(text).cast("string")
     worded = F.coalesce(body.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    having = docs.where(worded).withColumn("__mark", F.xxhash64(body))
-    chosen = having.join(kept, having[key].eqNullSafe(kept["__kept"]) & (having["__mark"] == kept["__kept_mark"]), "left_semi")
-    return chosen.dropDuplicates([key, "__mark"]).drop("__mark").unionByName(docs.where(~worded))
+    mark, id_, id_mark = unused(docs.columns, "mark", "kept_id", "kept_mark")
+    kept = first.select(F.col("first.id").alias(id_), F.col("first.mark").alias(id_mark))
+    having = docs.where(worded).withColumn(mark, F.xxhash64(body))
+    chosen = having.join(kept, F.col(key).eqNullSafe(F.col(id_)) & (F.col(mark) == F.col(id_mark)), "left_semi")
+    return chosen.dropDuplicates([key, mark]).drop(mark).unionByName(docs.where(~worded))

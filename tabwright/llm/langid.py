@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwright.llm.common import unused
+
 UNKNOWN = "und"
 LETTER = r"\p{L}"
 #: Characters that are worked on at a time.
@@ -168,6 +170,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
 def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows with an identified language, in their own columns."""
     names = docs.columns
-    label, score = "__language", "__probability"
+    label, score = unused(names, "language", "probability")
     found = predict(docs, model, text, label, score)
     return found.where((F.col(label) != UNKNOWN) & (F.col(score) >= least)).select(*names)

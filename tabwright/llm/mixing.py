@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import stage
+from tabwright.llm.common import stage, unused
 
 # What separates words: the space and the five control characters from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -155,14 +155,15 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     often as the mix takes them together.
     """
     names, run = docs.columns, 1_000
+    copies, rows, mark, nth, runs, id_, origin, hash_ = unused(names, *("copies", "rows", "mark", "nth", "run", "id", "origin", "hash"))
     plan = _plan(docs, key, text, source, weights, share, ceiling, bucket_rows).groupBy("id", "origin", "hash").agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    marked = docs.withColumn("__hash", F.xxhash64(F.col(key), F.col(text)))
-    same = marked[key].cast("string").eqNullSafe(plan["id"]) & marked[source].cast("string").eqNullSafe(plan["origin"]) & (marked["__hash"] == plan["hash"])
-    found = marked.join(plan, same).where("__copies > 0").select(*names, "__hash", "__copies", "__rows")
-    alone = found.where("__rows = 1").withColumn("__nth", F.explode(F.expr("sequence(1L, __copies)")))
+        F.sum("copies").alias("copies"), F.count("*").alias("rows")).toDF(id_, origin, hash_, copies, rows)
+    marked = docs.withColumn(mark, F.xxhash64(F.col(key), F.col(text)))
+    same = F.col(key).cast("string").eqNullSafe(F.col(id_)) & F.col(source).cast("string").eqNullSafe(F.col(origin)) & (F.col(mark) == F.col(hash_))
+    found = marked.join(plan, same).where(F.col(copies) > 0).select(*names, mark, copies, rows)
+    alone = found.where(F.col(rows) == 1).withColumn(nth, F.explode(F.expr(f"sequence(1L, `{copies}`)")))
     # Copies of rows that repeat are dealt out in runs, so that no task writes all of them.
-    repeated = found.where("__rows > 1").dropDuplicates(["__hash", key, source])
-    repeated = repeated.withColumn("__run", F.explode(F.expr(f"sequence(0L, (__copies - 1) div {run})"))).repartition("__hash", "__run")
-    repeated = repeated.withColumn("__nth", F.explode(F.expr(f"sequence(1L, least({run}L, __copies - __run * {run}))")))
+    repeated = found.where(F.col(rows) > 1).dropDuplicates([mark, key, source])
+    repeated = repeated.withColumn(runs, F.explode(F.expr(f"sequence(0L, (`{copies}` - 1) div {run})"))).repartition(mark, runs)
+    repeated = repeated.withColumn(nth, F.explode(F.expr(f"sequence(1L, least({run}L, `{copies}` - `{runs}` * {run}))")))
     return alone.select(*names).unionByName(repeated.select(*names))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import BLOCK, documents_of, mix64, text_blocks, utf8
+from tabwright.llm.common import BLOCK, documents_of, mix64, text_blocks, unused, utf8
 
 #: Bytes of a word's beginning that make a feature, besides the whole word.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -262,4 +262,5 @@ def offending(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "t
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows below the threshold, in their own columns."""
     names = docs.columns
-    return score(docs, model, text, "__toxicity", "__toxic", threshold).where("__toxic = 0").select(*names)
+    chance, toxic = unused(names, "toxicity", "is_toxic")
+    return score(docs, model, text, chance, toxic, threshold).where(F.col(toxic) == 0).select(*names)
