@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.sources.staging import stage
 
-__all__ = ["BLOCK", "documents_of", "held_out", "mix64", "placed", "stage", "text_blocks", "unused", "utf8"]
+__all__ = ["BLOCK", "documents_of", "held_out", "mix64", "placed", "slices", "stage", "text_blocks", "unused", "utf8"]
 
 #: Bytes of text that numpy works on at a time: temporaries then stay in the cache.
 BLOCK = 1 << 20
@@ -61,6 +61,13 @@ def text_blocks(bounds: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, i
         first = last
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 * BLOCK) -> Iterator[pa.RecordBatch]:
+    """Batches in parts that hold about ``limit`` bytes of text, longer texts alone: what is made of a part is as bounded."""
+    for batch in batches:
+        for first, last in text_blocks(utf8(batch.column(text))[1], limit):
+            yield batch.slice(first, last - first)
+
+
 def documents_of(data: np.ndarray, bounds: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows ``first`` to ``last`` with a space after each, and where each begins."""
     sizes = np.diff(bounds[first : last + 1])

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import documents_of, mix64, stage, text_blocks, unused, utf8
+from tabwright.llm.common import documents_of, mix64, slices, stage, text_blocks, unused, utf8
 from tabwright.llm.components import connected
 
 #: Counters of the table of shingle counts, as a power of two, and per row of it.
@@ -52,6 +52,8 @@ COUNTER_BITS = 22
 CHUNK_BITS = 14
 #: Rounds in which lists are compared with a hub, before what is left is compared in pairs.
 HUB_ROUNDS = 3
+#: Sets that a task remembers in order to enter copies once.
+SEEN = 100_000
 #: Sets above this size are heavy at any cost.
 LIGHT_LIMIT = 40
 #: Bytes of text that are hashed at a time, and shingles that are counted at a time.
@@ -274,13 +276,15 @@ def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold
     sent = spark.sparkContext.broadcast(levels)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = sent.value
-        for batch in batches:
+        levels, seen = sent.value, set()
+        for batch in slices(batches, "text"):
             data, bounds = utf8(batch.column("text"))
-            token, node, size, place, seen = [], [], [], [], set()
+            token, node, size, place = [], [], [], []
+            if len(seen) > SEEN:
+                seen.clear()
             for _, shingles in sets(data, bounds, words):
                 n, own = len(shingles), _key(shingles)
-                if own in seen:  # a copy in the same batch adds nothing
+                if own in seen:  # a copy seen a short while ago adds nothing
                     continue
                 seen.add(own)
                 found, at_place = [], []
@@ -388,7 +392,7 @@ def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int)
     texts = narrow.join(ids, narrow["id"].eqNullSafe(ids["doc"])).select("node", "text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             wanted = np.asarray(batch.column("node"))
             data, bounds = utf8(batch.column("text"))
             # A document may share its id with another one: its set has to be the wanted node's.

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import unused
+from tabwright.llm.common import slices, unused
 
 UNKNOWN = "und"
 LETTER = r"\p{L}"
@@ -150,7 +150,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
+        for batch in slices(batches, text):
             letters = np.asarray(batch.column(mark))
             found, sure = np.full(len(letters), UNKNOWN, object), np.zeros(len(letters))
             at = np.flatnonzero(letters)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import BLOCK, documents_of, mix64, text_blocks, unused, utf8
+from tabwright.llm.common import BLOCK, documents_of, mix64, slices, text_blocks, unused, utf8
 
 #: Bytes of a word's beginning that make a feature, besides the whole word.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -221,7 +221,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = sent.value.table(), sent.value.bias
-        for batch in batches:
+        for batch in slices(batches, text):
             data, bounds = utf8(batch.column(text))
             clean = np.zeros(len(batch))
             for p, row, _, _ in _sentences(data, bounds, table, bias):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tabwright.llm import common, jaccard, langid, mixing, queries, toxicity
@@ -32,5 +33,9 @@ def test_stages_pass_clashing_columns_through(spark):
         assert all(value == f"{name} {r[0]}" for r in every for name, value in zip(NAMES, r[3:], strict=True))
 
 
-def test_unused_names():
+def test_unused_names_and_slices():
     assert common.unused(["ID", "_mark"], "id", "mark", "_mark", "x") == ["_id", "mark", "__mark", "x"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 40, None, "", "b" * 500, "c", "d" * 30]), pa.array(range(6))], names=["t", "i"])
+    parts = list(common.slices(iter([batch, batch.slice(2, 0)]), "t", 64))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and len(parts) > 2
+    assert max(sum(len(v.as_py() or "") for v in p.column("t")) for p in parts) == 500
