@@ -13,7 +13,7 @@ rank with the interval of ranks that its run was given.
 
 Nulls: a null text is an empty document, which is the end token alone. A null id is kept as it
 is. Equal rows are packed as often as they occur. An empty table gives an empty result. Other
-columns of the input are not read. Token ids come from a byte-pair vocabulary given as ranks. Tokens that were added to it
+columns of the input are not read. Texts of any length are encoded whole, and cut into as many pieces as they need. Token ids come from a byte-pair vocabulary given as ranks. Tokens that were added to it
 are recognised in texts if they are given (``added``), as its own tokenizer does by default; otherwise they are plain text.
 """
 

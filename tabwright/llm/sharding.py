@@ -7,7 +7,8 @@ are added up, so that no shard's rows meet in one task.
 
 Nulls: a null key is a key like any other; a null text has size 1 and the checksum of an empty
 text. Rows repeat as often as they occur, each with a slot of its own. An empty table gives an
-empty result. Other columns of the input are not read, so that their names cannot clash.
+empty result. Other columns of the input are not read, so that their names cannot clash. Texts of any
+length are measured whole. Equal keys share a shard; their slots follow the order of writing.
 """
 
 from __future__ import annotations
