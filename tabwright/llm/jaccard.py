@@ -8,13 +8,17 @@ num * (a + b) / (num + den) of them, and all nodes with enough in common are fou
   could ask for; two light sets link only if they have such a subset in common.
 * Heavy sets are entered into inverted lists and scan these. A pair has to share one of the
   first n - least overlap + 1 shingles of either set in any common order, so these alone are entered;
-  the order goes by how many documents hold a shingle, rarest first, so that passages which many
+  the order goes by how many sets hold a shingle, rarest first, so that passages which many
   documents share come last. Light sets near the boundary are entered as well.
 * The boundary is the size at which enumerating, summed over all sets, costs least: it weighs
   subsets to enumerate against entries and the mean length of a list.
 
-How many documents hold a shingle is counted over all documents, in a table of hashed counters of
-a fixed size. It decides the order alone; any order gives the same links.
+How many sets hold a shingle is counted exactly, by one shuffle of all (shingle, set): it grows with the
+input and needs no table that does. What only one set holds is dropped there and comes first in its set's
+order, so that a set with enough of it enters no list; the rest of a set, its shared shingles, is all that
+verification needs. Shingles that make up more than one in ``HOT_PART`` of all are found before by hashed
+counters, at most ``HOT_PART`` of these: they are dealt out in ``SALTS`` parts, kept without a count and come last. Counts
+above ``HELD`` count as that. All this decides the order and the plan alone; any order gives the same links.
 
 Lists may be long, and their pairs are not written out. In a round, each list's members are compared
 with one hub; what links becomes one component, and a list whose members are in one component
@@ -47,9 +51,14 @@ from pyspark.sql import types as T
 from tabwright.llm.common import documents_of, mix64, slices, stage, text_blocks, unused, utf8
 from tabwright.llm.components import connected
 
-#: Counters of the table of shingle counts, as a power of two, and per row of it.
-COUNTER_BITS = 22
-CHUNK_BITS = 14
+#: Counters that find hot shingles, as a power of two, and per row of them.
+COUNTER_BITS, CHUNK_BITS = 20, 14
+#: A shingle is hot if it is more than one in so many, and more than so many rows; its rows are dealt out in so many parts.
+HOT_PART, HOT_ROWS, SALTS = 4096, 1024, 64
+#: Sets of one shingle that a task holds in order to count them.
+HELD = 1 << 20
+#: Smallest hashes from which the number of different shingles is estimated.
+SMALLEST = 256
 #: Rounds in which lists are compared with a hub, before what is left is compared in pairs.
 HUB_ROUNDS = 3
 #: Sets that a task remembers in order to enter copies once.
@@ -58,9 +67,6 @@ SEEN = 100_000
 LIGHT_LIMIT = 40
 #: Bytes of text that are hashed at a time, and shingles that are counted at a time.
 BLOCK, COUNTED = 1 << 18, 1 << 20
-#: Up to so many rows of two numbers, the ids whose texts are wanted are sent to all tasks; more are joined by a shuffle.
-SENT_ROWS = 250_000
-
 U = np.uint64
 
 
@@ -172,64 +178,108 @@ def _subsets(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch], words: int, schema: T.StructType) -> Iterator[pa.RecordBatch]:
-    """Size and node of every row; at the end of the task, its table of shingle counts."""
-    total, waiting, held = np.zeros(1 << COUNTER_BITS, np.uint32), [], 0
-    names = schema.names
-    kind = None
+    """Size, node and smallest shingle of every row; at the end of the task, its counters."""
+    total, waiting, held = np.zeros(1 << COUNTER_BITS, np.int64), [], 0
+    names, kind = schema.names, None
     for batch in batches:
         data, bounds = utf8(batch.column("text"))
-        n, key = np.zeros(len(batch), np.int32), np.zeros(len(batch), np.int64)
+        n, key, low = np.zeros(len(batch), np.int32), np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
         for row, shingles in sets(data, bounds, words):
-            n[row], key[row] = len(shingles), _key(shingles)
-            waiting.append((shingles >> U(64 - COUNTER_BITS)).astype(np.uint32))
+            n[row], key[row], low[row] = len(shingles), _key(shingles), shingles[0] >> U(1)
+            waiting.append((shingles >> U(64 - COUNTER_BITS)).astype(np.int32))
             held += len(shingles)
             if held > COUNTED:
-                _count(total, waiting)
+                total += np.bincount(np.concatenate(waiting), minlength=len(total))
                 waiting, held = [], 0
         kind = batch.schema.field("id").type
         marks = [batch.column("mark")] if "mark" in names else []
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(n), pa.array(key), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), *marks], names=names)
+        none = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(key), pa.array(low), *none, *marks], names=names)
     if waiting:
-        _count(total, waiting)
-    chunks = [(i, _packed(part)) for i, part in enumerate(total.reshape(-1, 1 << CHUNK_BITS)) if part.any()]
+        total += np.bincount(np.concatenate(waiting), minlength=len(total))
+    chunks = [(i, zlib.compress(part.astype("<i8").tobytes(), 1)) for i, part in enumerate(total.reshape(-1, 1 << CHUNK_BITS)) if part.any()]
     if chunks:
         m = len(chunks)
+        none = [pa.nulls(m, kind), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())]
+        marks = [pa.nulls(m, pa.int64())] if "mark" in names else []
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, kind), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.array([c for c, _ in chunks], pa.int32()),
-             pa.array([d for _, d in chunks], pa.binary()), *([pa.nulls(m, pa.int64())] if "mark" in names else [])], names=names)
+            [*none, pa.array([c for c, _ in chunks], pa.int32()), pa.array([d for _, d in chunks], pa.binary()), *marks], names=names)
 
 
-def _count(total: np.ndarray, waiting: list[np.ndarray]) -> None:
-    at, n = np.unique(np.concatenate(waiting), return_counts=True)
-    total[at] += n.astype(np.uint32)
+def _hot(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The counters above ``least`` over all tasks."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            total[chunk] = total.get(chunk, 0) + np.frombuffer(zlib.decompress(raw), "<i8")
+    for chunk, counts in total.items():
+        at = np.flatnonzero(counts > least)
+        yield pa.RecordBatch.from_arrays([pa.array((at + (chunk << CHUNK_BITS)).astype(np.int32)), pa.array(counts[at])], names=["at", "count"])
 
 
-def _packed(part: np.ndarray) -> bytes:
-    at = np.flatnonzero(part)
-    return zlib.compress(np.concatenate([at, part[at]]).astype("<u4").tobytes(), 1) if len(at) < len(part) // 8 else b"d" + zlib.compress(part.tobytes(), 1)
+def _level(counts: np.ndarray | int) -> np.ndarray:
+    """Two levels for each doubling of a count."""
+    return np.floor(2 * np.log2(counts) + 1e-9).astype(U)
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros(1 << CHUNK_BITS, np.int64)
-    if raw[:1] == b"d":
-        out += np.frombuffer(zlib.decompress(raw[1:]), "<u4")
-    else:
-        both = np.frombuffer(zlib.decompress(raw), "<u4").reshape(2, -1)
-        out[both[0]] = both[1]
-    return out
+def _ranked(token: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The token as its place in the order of all: by level, then by hash."""
+    return ((level << U(56)) | (token.view(U) >> U(8))).view(np.int64)
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of each chunk over all tasks, as levels: eight for each doubling."""
-    total: dict[int, np.ndarray] = {}
+# Beside each token goes a number: the size of the set, the part of a hot shingle from 1 and its level, and whether it is a subset.
+_SALT, _LEVEL, _SUBSET = 32, 40, 48
+
+
+def _shared(batches: Iterator[pa.RecordBatch], held: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (token, node, meta) in the order of these, the tokens of more than one node, ranked, and all hot ones.
+
+    A token's rows wait until their number is known, or until there are ``held`` of them.
+    """
+    names = ["node", "n", "subset", "token"]
+
+    def out(token: np.ndarray, node: np.ndarray, meta: np.ndarray, level: np.ndarray) -> pa.RecordBatch:
+        subset = (meta >> _SUBSET) & 1 == 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (node, (meta & 0x7FFFFFFF).astype(np.int32), subset, np.where(subset, token, _ranked(token, level)))], names=names)
+
+    rest = [np.zeros(0, np.int64)] * 3
+    many: tuple[int, int] | None = None  # a token of which ``held`` rows are gone, and its last node
     for batch in batches:
-        for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            total[chunk] = total.get(chunk, 0) + _unpacked(raw)
-    level = {c: np.minimum(255, np.ceil(8 * np.log2(np.maximum(t, 1)))).astype(np.uint8).tobytes() for c, t in total.items()}
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(level), pa.int32()), pa.array(list(level.values()), pa.binary()), pa.array([int(t.sum()) for t in total.values()], pa.int64()),
-         pa.array([int((t > 0).sum()) for t in total.values()], pa.int64())], names=["chunk", "level", "total", "used"])
+        rows = [np.concatenate([r, np.asarray(batch.column(c))]) for r, c in zip(rest, ("token", "node", "meta"), strict=True)]
+        token, node, _ = rows
+        fresh = np.ones(len(token), bool)
+        fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+        if many and len(token):
+            fresh[0] = (token[0], node[0]) != many
+        token, node, meta = (r[fresh] for r in rows)
+        if not len(token):
+            rest = [token, node, meta]
+            continue
+        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        count = np.diff(np.append(start, len(token)))
+        whole = np.repeat(count, count)
+        if many and token[0] == many[0]:
+            whole[: count[0]] = held
+        last = int(start[-1])
+        if whole[last] >= held:
+            many, last = (int(token[-1]), int(node[-1])), len(token)
+        else:
+            many = None
+        whole = np.minimum(whole, held)
+        salted = (meta >> _SALT) & 0xFF > 0
+        level = np.where(salted, (meta >> _LEVEL) & 0xFF, 0).astype(U)
+        level[~salted] = _level(whole[~salted])
+        keep = (salted | (whole > 1))[:last]
+        if keep.any():
+            yield out(*(x[:last][keep] for x in (token, node, meta, level)))
+        rest = [token[last:], node[last:], meta[last:]]
+    token, node, meta = rest
+    salted = (meta >> _SALT) & 0xFF > 0
+    keep = salted | (len(token) > 1)
+    if keep.any():
+        level = np.where(salted, (meta >> _LEVEL) & 0xFF, _level(max(len(token), 1))).astype(U)
+        yield out(*(x[keep] for x in (token, node, meta, level)))
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -255,31 +305,34 @@ def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold
     given = narrow.withColumn("mark", F.xxhash64("text")) if marked else narrow
     id_type = narrow.schema["id"].dataType
     schema = T.StructType([T.StructField("id", id_type), T.StructField("n", T.IntegerType()), T.StructField("node", T.LongType()),
-                           T.StructField("chunk", T.IntegerType()), T.StructField("data", T.BinaryType()),
+                           T.StructField("low", T.LongType()), T.StructField("chunk", T.IntegerType()), T.StructField("data", T.BinaryType()),
                            *([T.StructField("mark", T.LongType())] if marked else [])])
     counted = stage(given.mapInArrow(lambda b: _counted(b, words, schema), schema))
-    rows = counted.where("chunk IS NULL").drop("chunk", "data")
+    rows = counted.where("chunk IS NULL").drop("chunk", "data", "low")
     if marked:
         nodes = rows.where("n > 0").groupBy("node").agg(F.min(_in_order("mark")).alias("first"), F.max("n").alias("n"))
         nodes = stage(nodes.select("node", "first.id", "n", "first.mark"))
     else:
         nodes = stage(rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")))
 
-    levels, total, used = np.zeros(1 << COUNTER_BITS, np.uint8), 0, 0
-    chunks = counted.where("chunk IS NOT NULL").select("chunk", "data").repartition("chunk")
-    for r in chunks.mapInArrow(_summed, "chunk int, level binary, total long, used long").collect():
-        levels[r["chunk"] << CHUNK_BITS : (r["chunk"] + 1) << CHUNK_BITS] = np.frombuffer(r["level"], np.uint8)
-        total, used = total + r["total"], used + r["used"]
+    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
+    lowest = [r["low"] for r in counted.where("n > 0").select("low").distinct().orderBy("low").limit(SMALLEST).collect()]
+    used = SMALLEST / ((lowest[-1] + 1) / 2**63) if len(lowest) == SMALLEST else total
     small = {r["n"]: r["count"] for r in nodes.where(F.col("n") < LIGHT_LIMIT).groupBy("n").count().collect()}
-    first = boundary(small, total / max(used, 1), num, den)
+    first = boundary(small, max(1.0, total / max(used, 1)), num, den)
     near = min(partners(first, num, den))
-    sent = spark.sparkContext.broadcast(levels)
+    # No more than HOT_PART counters can hold more than one in HOT_PART of all shingles.
+    least, held = max(HOT_ROWS, total // HOT_PART), HELD
+    chunks = counted.where("chunk IS NOT NULL").select("chunk", "data").repartition("chunk")
+    hot = [(r["at"], r["count"]) for r in chunks.mapInArrow(lambda b: _hot(b, least), "at int, count long").collect()]
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, seen = sent.value, set()
+        levels, seen = np.zeros(1 << COUNTER_BITS, np.int64), set()
+        for at, count in hot:
+            levels[at] = int(_level(count))
         for batch in slices(batches, "text"):
             data, bounds = utf8(batch.column("text"))
-            token, node, size, place = [], [], [], []
+            token, node, meta = [], [], []
             if len(seen) > SEEN:
                 seen.clear()
             for _, shingles in sets(data, bounds, words):
@@ -287,32 +340,31 @@ def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold
                 if own in seen:  # a copy seen a short while ago adds nothing
                     continue
                 seen.add(own)
-                found, at_place = [], []
+                level = levels[shingles >> U(64 - COUNTER_BITS)]
+                part = (own >> 7) % SALTS + 1
+                token.append(shingles)
+                meta.append(np.where(level > 0, n | part << _SALT | level << _LEVEL, n))
                 if n < first:
-                    found.append(_subsets(shingles, num, den))
-                    at_place.append(np.zeros(len(found[0]), np.int32))
-                if n >= near:
-                    level = levels[shingles >> U(64 - COUNTER_BITS)]
-                    m = entries(n, num, den)
-                    rank = (level.astype(U) << U(56)) | (shingles >> U(8))
-                    at = np.argpartition(rank, m - 1)[:m] if m < n else np.arange(n)
-                    at = at[np.argsort(rank[at])]
-                    # No other document holds a shingle that was counted once.
-                    shared = np.flatnonzero(level[at] > 0)
-                    found.append(shingles[at[shared]])
-                    at_place.append(shared.astype(np.int32))
-                token += found
-                place += at_place
-                total = sum(map(len, found))
-                node.append(np.full(total, own))
-                size.append(np.full(total, n, np.int32))
+                    token.append(_subsets(shingles, num, den))
+                    meta.append(np.full(len(token[-1]), n | 1 << _SUBSET))
+                node.append(np.full(n + (len(token[-1]) if n < first else 0), own))
             if token:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], node, size, place)],
-                    names=["token", "node", "n", "place"])
-
-    postings = narrow.select("text").mapInArrow(enter, "token long, node long, n int, place int")
-    links = _links(stage(postings), nodes, narrow, words, num, den)
+                    [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], node, meta)], names=["token", "node", "meta"])
+
+    entered = narrow.select("text").mapInArrow(enter, "token long, node long, meta long")
+    dealt = entered.repartition("token", F.shiftright("meta", _SALT).bitwiseAND(0xFF)).sortWithinPartitions("token", "node")
+    shared = dealt.mapInArrow(lambda b: _shared(b, held), "node long, n int, subset boolean, token long")
+    # A set has its shared shingles in order; those that it alone holds come before them.
+    of_node = shared.repartition("node").groupBy("node").agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.when(~F.col("subset"), F.col("token")))).alias("shingles"),
+        F.collect_list(F.when(F.col("subset"), F.col("token"))).alias("subsets"))
+    alone = F.col("n") - F.size("shingles")
+    wanted = F.col("n") - F.ceil(F.col("n").cast("long") * num / den) + 1 - alone
+    of_node = of_node.withColumn("alone", alone).withColumn(
+        "wanted", F.when(F.col("n") >= near, F.greatest(wanted, F.lit(0))).otherwise(0).cast("int"))
+    whole = stage(of_node.where((F.size("subsets") > 0) | (F.col("wanted") > 0)))
+    links = _links(whole, num, den)
     return rows, nodes, connected(links)
 
 
@@ -332,25 +384,25 @@ def _fits(one: str, two: str, num: int, den: int) -> Column:
     return enough(one, two) & enough(two, one)
 
 
-def _links(postings: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _links(whole: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect all nodes which the threshold connects."""
     ends = [F.min("node").alias("low"), F.max("node").alias("high")]
-    lists = postings.groupBy("token").agg(*ends).where("low < high")
-    members = postings.join(lists.select("token"), "token").distinct()
+    entered = whole.select("node", "n", "alone", F.posexplode(F.expr("slice(shingles, 1, wanted)")).alias("place", "token"))
+    members = entered.select("token", "node", "n", (F.col("place") + F.col("alone")).alias("place"))
+    members = members.unionByName(whole.select(F.explode("subsets").alias("token"), "node", "n", F.lit(0).alias("place")))
     # Within a list, only sets of like size can link: it is split in zones, each of two neighbouring bands of sizes.
     band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
     members = members.withColumn("zone", F.explode(F.array(band, band + 1)))
     members = stage(members.select(F.xxhash64("token", "zone").alias("token"), "node", "n", "place"))
     members = members.join(members.groupBy("token").agg(*ends).where("low < high").select("token"), "token", "left_semi")
     members = stage(members)
-    whole = stage(_sets_of(members.select("node").distinct(), nodes, narrow, words))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+        left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("x"), F.col("n").alias("m"))
+        right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("y"), "n")
         both = pairs.join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.select("a", "b", ((num + den) * common >= num * (F.size("x") + F.size("y"))).alias("linked"))
+        return both.select("a", "b", ((num + den) * common >= num * (F.col("m") + F.col("n"))).alias("linked"))
 
     placed, tried, last = members.withColumn("c", F.col("node")), None, False
     for turn in range(HUB_ROUNDS + 1):
@@ -384,27 +436,6 @@ def _links(postings: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int,
     return tried.where("linked").select("a", "b")
 
 
-def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int) -> DataFrame:
-    """The whole set of each wanted node, from the text of one of its documents."""
-    ids = stage(nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("doc")))
-    if ids.count() <= SENT_ROWS:
-        ids = F.broadcast(ids)
-    texts = narrow.join(ids, narrow["id"].eqNullSafe(ids["doc"])).select("node", "text")
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            wanted = np.asarray(batch.column("node"))
-            data, bounds = utf8(batch.column("text"))
-            # A document may share its id with another one: its set has to be the wanted node's.
-            found = [(wanted[row], s.view(np.int64)) for row, s in sets(data, bounds, words) if _key(s) == wanted[row]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    found = texts.mapInArrow(whole, "node long, shingles array<long>")
-    # Rows that repeat an id and a text give a set more than once.
-    return found.dropDuplicates(["node"])
-
-
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """The input with one document of each component, the one of the smallest id, in its own columns.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -77,6 +78,28 @@ def test_equals_all_pairs(spark, words, num, den, seed):
     assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, words, num, den)
 
 
+@pytest.mark.parametrize("rows,held", [(3, 1 << 20), (1 << 20, 4)])
+def test_hot_shingles_and_long_lists(spark, monkeypatch, rows, held):
+    monkeypatch.setattr(jaccard, "HOT_ROWS", rows)
+    monkeypatch.setattr(jaccard, "HELD", held)
+    given = corpus(3)
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(5)
+    found = jaccard.components(docs, words=3, threshold=(9, 10)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == plain_components(given, 3, 9, 10)
+
+
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=60), st.integers(1, 7), st.integers(2, 9))
+def test_tokens_of_more_than_one_node(rows, size, held):
+    rows = sorted(rows)
+    parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t << 8 for t, _ in p]), pa.array([v for _, v in p]), pa.array([5] * len(p))],
+                                          names=["token", "node", "meta"]) for p in parts]
+    found = [(r["token"], r["node"], r["n"]) for b in jaccard._shared(iter(batches), held) for r in b.to_pylist()]
+    nodes = {t: sorted({v for u, v in rows if u == t}) for t, _ in rows}
+    level = {t: int(jaccard._level(min(len(v), held))) for t, v in nodes.items()}
+    assert sorted(found) == sorted((level[t] << 56 | t, v, 5) for t, vs in nodes.items() if len(vs) > 1 for v in vs)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.components(docs).count() == 0
