@@ -13,12 +13,13 @@ num * (a + b) / (num + den) of them, and all nodes with enough in common are fou
 * The boundary is the size at which enumerating, summed over all sets, costs least: it weighs
   subsets to enumerate against entries and the mean length of a list.
 
-How many sets hold a shingle is counted exactly, by one shuffle of all (shingle, set): it grows with the
-input and needs no table that does. What only one set holds is dropped there and comes first in its set's
-order, so that a set with enough of it enters no list; the rest of a set, its shared shingles, is all that
-verification needs. Shingles that make up more than one in ``HOT_PART`` of all are found before by hashed
-counters, at most ``HOT_PART`` of these: they are dealt out in ``SALTS`` parts, kept without a count and come last. Counts
-above ``HELD`` count as that. All this decides the order and the plan alone; any order gives the same links.
+The order puts first the shingles of one part of all hashes, ``SHARE`` times what a set enters. How many sets hold one of
+these is counted exactly, by one shuffle of (shingle, set): it grows with the input and needs no table that does. What
+only one set holds is dropped there and comes first of all, so that a set with enough of it enters no list. The rest of the
+hashes follows, and is entered by sets that have too little of the part. Shingles that make up more than one in ``HOT_PART``
+of all are found before by hashed counters, at most ``HOT_PART`` of these: they are dealt out in ``SALTS`` parts, kept
+without a count and come last in their part. Counts above ``HELD`` count as that. All this decides the order and the plan
+alone; any order gives the same links.
 
 Lists may be long, and their pairs are not written out. In a round, each list's members are compared
 with one hub; what links becomes one component, and a list whose members are in one component
@@ -27,7 +28,7 @@ are a pair only if what follows the shared shingle in their order can still be e
 components are compared. Every pair is verified on its whole sets.
 
 Words are runs of bytes other than the ASCII blanks, with A-Z lowered. Shingles and sets are held as
-64-bit hashes. Nulls: a null text has an empty set, like a text without words: size 0, linked with
+64-bit hashes; a text, however long, may have up to 2^28 different shingles. Nulls: a null text has an empty set, like a text without words: size 0, linked with
 nothing. With fewer words than a shingle has, the whole sequence is one shingle. A null id is kept,
 and counts for a component only where all its ids are null. Equal rows share a node. An empty
 table gives an empty result. Other columns are not read by ``components``.
@@ -55,6 +56,8 @@ from tabwright.llm.components import connected
 COUNTER_BITS, CHUNK_BITS = 20, 14
 #: A shingle is hot if it is more than one in so many, and more than so many rows; its rows are dealt out in so many parts.
 HOT_PART, HOT_ROWS, SALTS = 4096, 1024, 64
+#: Shingles that are counted, as a multiple of those that are entered.
+SHARE = 2.5
 #: Sets of one shingle that a task holds in order to count them.
 HELD = 1 << 20
 #: Smallest hashes from which the number of different shingles is estimated.
@@ -67,6 +70,9 @@ SEEN = 100_000
 LIGHT_LIMIT = 40
 #: Bytes of text that are hashed at a time, and shingles that are counted at a time.
 BLOCK, COUNTED = 1 << 18, 1 << 20
+#: Up to so many rows of two numbers, the ids whose texts are wanted are sent to all tasks; more are joined by a shuffle.
+SENT_ROWS = 250_000
+
 U = np.uint64
 
 
@@ -218,30 +224,49 @@ def _hot(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
 
 
 def _level(counts: np.ndarray | int) -> np.ndarray:
-    """Two levels for each doubling of a count."""
-    return np.floor(2 * np.log2(counts) + 1e-9).astype(U)
+    """Two levels for each doubling of a count, 63 at most."""
+    return np.minimum(63, np.floor(2 * np.log2(counts) + 1e-9)).astype(np.int64)
+
+
+def _hot_levels(hot: list[tuple[int, int]]) -> np.ndarray:
+    levels = np.zeros(1 << COUNTER_BITS, np.int64)
+    for at, count in hot:
+        levels[at] = int(_level(count))
+    return levels
+
+
+def _later(token: np.ndarray, limit: int) -> np.ndarray:
+    """Whether shingles are outside the part of all hashes that is counted."""
+    return ((token.view(U) >> U(8)) & U(255)) >= U(limit)
 
 
 def _ranked(token: np.ndarray, level: np.ndarray) -> np.ndarray:
     """The token as its place in the order of all: by level, then by hash."""
-    return ((level << U(56)) | (token.view(U) >> U(8))).view(np.int64)
+    return ((level.astype(U) << U(56)) | (token.view(U) >> U(8))).view(np.int64)
 
 
-# Beside each token goes a number: the size of the set, the part of a hot shingle from 1 and its level, and whether it is a subset.
-_SALT, _LEVEL, _SUBSET = 32, 40, 48
+# Beside each token goes a number: the size of the set, how many of it are counted, and the part of a hot shingle from 1.
+_COUNTED, _PART, _SUBSET, _MOST = 28, 56, 127, (1 << 28) - 1
 
 
-def _shared(batches: Iterator[pa.RecordBatch], held: int) -> Iterator[pa.RecordBatch]:
+def _shared(batches: Iterator[pa.RecordBatch], held: int, hot: list[tuple[int, int]], limit: int) -> Iterator[pa.RecordBatch]:
     """Of rows (token, node, meta) in the order of these, the tokens of more than one node, ranked, and all hot ones.
 
     A token's rows wait until their number is known, or until there are ``held`` of them.
     """
-    names = ["node", "n", "subset", "token"]
+    hot_levels = _hot_levels(hot)
 
-    def out(token: np.ndarray, node: np.ndarray, meta: np.ndarray, level: np.ndarray) -> pa.RecordBatch:
-        subset = (meta >> _SUBSET) & 1 == 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (node, (meta & 0x7FFFFFFF).astype(np.int32), subset, np.where(subset, token, _ranked(token, level)))], names=names)
+    def out(token: np.ndarray, node: np.ndarray, meta: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = meta >> _PART
+        subset, salted = part == _SUBSET, (part > 0) & (part < _SUBSET)
+        keep = salted | (count > 1)
+        if keep.any():
+            token, node, meta, count, subset, salted = (x[keep] for x in (token, node, meta, count, subset, salted))
+            level = hot_levels[token.view(U) >> U(64 - COUNTER_BITS)]
+            level = np.where(_later(token, limit), 64 + level, np.where(salted, level, _level(count)))
+            columns = (node, (meta & _MOST).astype(np.int32), ((meta >> _COUNTED) & _MOST).astype(np.int32), subset,
+                       np.where(subset, token, _ranked(token, level)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["node", "n", "counted", "subset", "token"])
 
     rest = [np.zeros(0, np.int64)] * 3
     many: tuple[int, int] | None = None  # a token of which ``held`` rows are gone, and its last node
@@ -266,20 +291,9 @@ def _shared(batches: Iterator[pa.RecordBatch], held: int) -> Iterator[pa.RecordB
             many, last = (int(token[-1]), int(node[-1])), len(token)
         else:
             many = None
-        whole = np.minimum(whole, held)
-        salted = (meta >> _SALT) & 0xFF > 0
-        level = np.where(salted, (meta >> _LEVEL) & 0xFF, 0).astype(U)
-        level[~salted] = _level(whole[~salted])
-        keep = (salted | (whole > 1))[:last]
-        if keep.any():
-            yield out(*(x[:last][keep] for x in (token, node, meta, level)))
+        yield from out(token[:last], node[:last], meta[:last], np.minimum(whole, held)[:last])
         rest = [token[last:], node[last:], meta[last:]]
-    token, node, meta = rest
-    salted = (meta >> _SALT) & 0xFF > 0
-    keep = salted | (len(token) > 1)
-    if keep.any():
-        level = np.where(salted, (meta >> _LEVEL) & 0xFF, _level(max(len(token), 1))).astype(U)
-        yield out(*(x[keep] for x in (token, node, meta, level)))
+    yield from out(*rest, np.full(len(rest[0]), len(rest[0])))
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -326,10 +340,10 @@ def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold
     chunks = counted.where("chunk IS NOT NULL").select("chunk", "data").repartition("chunk")
     hot = [(r["at"], r["count"]) for r in chunks.mapInArrow(lambda b: _hot(b, least), "at int, count long").collect()]
 
+    limit = min(256, math.ceil(256 * SHARE * (den - num) / den))
+
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, seen = np.zeros(1 << COUNTER_BITS, np.int64), set()
-        for at, count in hot:
-            levels[at] = int(_level(count))
+        levels, seen = _hot_levels(hot), set()
         for batch in slices(batches, "text"):
             data, bounds = utf8(batch.column("text"))
             token, node, meta = [], [], []
@@ -340,31 +354,40 @@ def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold
                 if own in seen:  # a copy seen a short while ago adds nothing
                     continue
                 seen.add(own)
-                level = levels[shingles >> U(64 - COUNTER_BITS)]
-                part = (own >> 7) % SALTS + 1
-                token.append(shingles)
-                meta.append(np.where(level > 0, n | part << _SALT | level << _LEVEL, n))
+                before = len(token)
+                if n >= near:
+                    level, later = levels[shingles >> U(64 - COUNTER_BITS)], _later(shingles, limit)
+                    first_part, m = np.flatnonzero(~later), entries(n, num, den)
+                    counted = len(first_part)
+                    if counted < m:
+                        others = np.flatnonzero(later)
+                        others = others[np.argsort(level[others], kind="stable")][: m - counted]
+                        first_part = np.concatenate([first_part, others])
+                    part = np.where(level[first_part] > 0, int(own >> 7) % SALTS + 1, 0)
+                    token.append(shingles[first_part])
+                    meta.append(n | counted << _COUNTED | part << _PART)
                 if n < first:
                     token.append(_subsets(shingles, num, den))
-                    meta.append(np.full(len(token[-1]), n | 1 << _SUBSET))
-                node.append(np.full(n + (len(token[-1]) if n < first else 0), own))
+                    meta.append(np.full(len(token[-1]), n | _SUBSET << _PART))
+                node += [np.full(len(t), own) for t in token[before:]]
             if token:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in token], node, meta)], names=["token", "node", "meta"])
 
     entered = narrow.select("text").mapInArrow(enter, "token long, node long, meta long")
-    dealt = entered.repartition("token", F.shiftright("meta", _SALT).bitwiseAND(0xFF)).sortWithinPartitions("token", "node")
-    shared = dealt.mapInArrow(lambda b: _shared(b, held), "node long, n int, subset boolean, token long")
-    # A set has its shared shingles in order; those that it alone holds come before them.
+    dealt = entered.repartition("token", F.shiftright("meta", _PART)).sortWithinPartitions("token", "node")
+    shared = dealt.mapInArrow(lambda b: _shared(b, held, hot, limit), "node long, n int, counted int, subset boolean, token long")
+    # A set has its shared shingles in order; the counted ones that it alone holds come before them.
     of_node = shared.repartition("node").groupBy("node").agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_list(F.when(~F.col("subset"), F.col("token")))).alias("shingles"),
+        F.max("n").alias("n"), F.max("counted").alias("counted"),
+        F.sort_array(F.collect_list(F.when(~F.col("subset"), F.col("token")))).alias("shingles"),
         F.collect_list(F.when(F.col("subset"), F.col("token"))).alias("subsets"))
-    alone = F.col("n") - F.size("shingles")
+    alone = F.col("counted") - F.size(F.filter("shingles", lambda x: x < F.lit(64 << 56)))
     wanted = F.col("n") - F.ceil(F.col("n").cast("long") * num / den) + 1 - alone
-    of_node = of_node.withColumn("alone", alone).withColumn(
-        "wanted", F.when(F.col("n") >= near, F.greatest(wanted, F.lit(0))).otherwise(0).cast("int"))
-    whole = stage(of_node.where((F.size("subsets") > 0) | (F.col("wanted") > 0)))
-    links = _links(whole, num, den)
+    of_node = of_node.select("node", "n", "subsets", "shingles", alone.alias("alone"), F.greatest(wanted, F.lit(0)).cast("int").alias("wanted"))
+    listed = stage(of_node.where((F.size("subsets") > 0) | ((F.col("wanted") > 0) & (F.size("shingles") > 0))).select(
+        "node", "n", "alone", "subsets", F.expr("slice(shingles, 1, wanted)").alias("shingles")))
+    links = _links(listed, nodes, narrow, words, num, den)
     return rows, nodes, connected(links)
 
 
@@ -384,12 +407,12 @@ def _fits(one: str, two: str, num: int, den: int) -> Column:
     return enough(one, two) & enough(two, one)
 
 
-def _links(whole: DataFrame, num: int, den: int) -> DataFrame:
+def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect all nodes which the threshold connects."""
     ends = [F.min("node").alias("low"), F.max("node").alias("high")]
-    entered = whole.select("node", "n", "alone", F.posexplode(F.expr("slice(shingles, 1, wanted)")).alias("place", "token"))
+    entered = listed.select("node", "n", "alone", F.posexplode("shingles").alias("place", "token"))
     members = entered.select("token", "node", "n", (F.col("place") + F.col("alone")).alias("place"))
-    members = members.unionByName(whole.select(F.explode("subsets").alias("token"), "node", "n", F.lit(0).alias("place")))
+    members = members.unionByName(listed.select(F.explode("subsets").alias("token"), "node", "n", F.lit(0).alias("place")))
     # Within a list, only sets of like size can link: it is split in zones, each of two neighbouring bands of sizes.
     band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
     members = members.withColumn("zone", F.explode(F.array(band, band + 1)))
@@ -397,12 +420,14 @@ def _links(whole: DataFrame, num: int, den: int) -> DataFrame:
     members = members.join(members.groupBy("token").agg(*ends).where("low < high").select("token"), "token", "left_semi")
     members = stage(members)
 
+    whole = _sets_of(members.select("node").distinct(), nodes, narrow, words)
+
     def verified(pairs: DataFrame) -> DataFrame:
-        left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("x"), F.col("n").alias("m"))
-        right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("y"), "n")
+        left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+        right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         both = pairs.join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.select("a", "b", ((num + den) * common >= num * (F.col("m") + F.col("n"))).alias("linked"))
+        return both.select("a", "b", ((num + den) * common >= num * (F.size("x") + F.size("y"))).alias("linked"))
 
     placed, tried, last = members.withColumn("c", F.col("node")), None, False
     for turn in range(HUB_ROUNDS + 1):
@@ -436,6 +461,33 @@ def _links(whole: DataFrame, num: int, den: int) -> DataFrame:
     return tried.where("linked").select("a", "b")
 
 
+def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int) -> DataFrame:
+    """The whole set of each wanted node, from the text of one of its documents."""
+    ids = stage(nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("doc")))
+    n = ids.count()
+    texts = narrow.join(F.broadcast(ids) if n <= SENT_ROWS else ids, narrow["id"].eqNullSafe(ids["doc"])).select("node", "text")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in slices(batches, "text"):
+            wanted = np.asarray(batch.column("node"))
+            data, bounds = utf8(batch.column("text"))
+            if len(seen) > SEEN:
+                seen.clear()
+            found = []
+            for row, s in sets(data, bounds, words):
+                # A document may share its id with another one: its set has to be the wanted node's.
+                if wanted[row] not in seen and _key(s) == wanted[row]:
+                    seen.add(wanted[row])
+                    found.append((wanted[row], s.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    found = stage(texts.mapInArrow(whole, "node long, shingles array<long>"))
+    # Rows that repeat an id and a text give a set more than once, in different tasks; else there is nothing to drop.
+    return found if found.count() == n else stage(found.dropDuplicates(["node"]))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """The input with one document of each component, the one of the smallest id, in its own columns.
 

@@ -94,7 +94,7 @@ def test_tokens_of_more_than_one_node(rows, size, held):
     parts = [rows[i : i + size] for i in range(0, len(rows), size)]
     batches = [pa.RecordBatch.from_arrays([pa.array([t << 8 for t, _ in p]), pa.array([v for _, v in p]), pa.array([5] * len(p))],
                                           names=["token", "node", "meta"]) for p in parts]
-    found = [(r["token"], r["node"], r["n"]) for b in jaccard._shared(iter(batches), held) for r in b.to_pylist()]
+    found = [(r["token"], r["node"], r["n"]) for b in jaccard._shared(iter(batches), held, [], 256) for r in b.to_pylist()]
     nodes = {t: sorted({v for u, v in rows if u == t}) for t, _ in rows}
     level = {t: int(jaccard._level(min(len(v), held))) for t, v in nodes.items()}
     assert sorted(found) == sorted((level[t] << 56 | t, v, 5) for t, vs in nodes.items() if len(vs) > 1 for v in vs)
