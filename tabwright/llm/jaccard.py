@@ -13,7 +13,7 @@ num * (a + b) / (num + den) of them, and all nodes with enough in common are fou
 * The boundary is the size at which enumerating, summed over all sets, costs least: it weighs
   subsets to enumerate against entries and the mean length of a list.
 
-The order puts first the shingles of one part of all hashes, ``SHARE`` times what a set enters. How many sets hold one of
+The order puts first the shingles of a part of all hashes, ``SHARE``. How many sets hold one of
 these is counted exactly, by one shuffle of (shingle, set): it grows with the input and needs no table that does. What
 only one set holds is dropped there and comes first of all, so that a set with enough of it enters no list. The rest of the
 hashes follows, and is entered by sets that have too little of the part. Shingles that make up more than one in ``HOT_PART``
@@ -56,8 +56,8 @@ from tabwright.llm.components import connected
 COUNTER_BITS, CHUNK_BITS = 20, 14
 #: A shingle is hot if it is more than one in so many, and more than so many rows; its rows are dealt out in so many parts.
 HOT_PART, HOT_ROWS, SALTS = 4096, 1024, 64
-#: Shingles that are counted, as a multiple of those that are entered.
-SHARE = 2.5
+#: The part of all hashes that is counted: more costs shuffle, less lets more sets into the lists.
+SHARE = 0.5
 #: Sets of one shingle that a task holds in order to count them.
 HELD = 1 << 20
 #: Smallest hashes from which the number of different shingles is estimated.
@@ -340,7 +340,7 @@ def _connected_nodes(docs: DataFrame, key: str, text: str, words: int, threshold
     chunks = counted.where("chunk IS NOT NULL").select("chunk", "data").repartition("chunk")
     hot = [(r["at"], r["count"]) for r in chunks.mapInArrow(lambda b: _hot(b, least), "at int, count long").collect()]
 
-    limit = min(256, math.ceil(256 * SHARE * (den - num) / den))
+    limit = math.ceil(256 * SHARE)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, seen = _hot_levels(hot), set()
