@@ -146,6 +146,31 @@ def test_exact_quantiles_of_wide_types_and_after_missed_brackets(spark, monkeypa
             assert row["c"] == len(own)
 
 
+@pytest.mark.parametrize("crowded, slots", [(1 << 22, 4096), (3, 5)])
+def test_exact_quantiles_by_counted_bins(spark, monkeypatch, crowded, slots):
+    """No sketch goes over the rows; narrow, wide, negative, infinite and missing values, also when crowded bins are divided."""
+    monkeypatch.setattr(quantile, "CROWDED", crowded)
+    monkeypatch.setattr(quantile, "SLOTS", slots)
+    plans, staged = [], quantile.stage
+
+    def seen(df, *given):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, *given)
+
+    monkeypatch.setattr(quantile, "stage", seen)
+    odd = [float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 5e-324, -1.7e308, 1.7e308, None]
+    values = [(i % 2, 1.7e9 + i * 37 % 500, 2**60 + i * 11 % 400, odd[i % 9] if i % 3 else i * 0.001 - 0.2) for i in range(600)]
+    df = spark.createDataFrame(values, "g int, narrow double, big long, odd double")
+    probs = (0.0, 0.37, 0.5, 0.99, 1.0)
+    wanted = {c: (c, probs) for c in ("narrow", "big", "odd")}
+    for row in quantile.aggregate(df, ["g"], [F.count("*").alias("c")], wanted, quantile.EXACT).collect():
+        for name, at in (("narrow", 1), ("big", 2), ("odd", 3)):
+            known = sorted((v[at] for v in values if v[0] == row["g"] and v[at] is not None), key=lambda x: (math.isnan(x), x))
+            want = [known[max(1, math.ceil(p * len(known))) - 1] for p in probs]
+            assert all(a == b or math.isnan(a) and math.isnan(b) for a, b in zip(row[name], want, strict=True)), (name, row[name], want)
+    assert not any("percentile_approx" in p and "Scan ExistingRDD" in p for p in plans)
+
+
 def _miles(a, b):
     (p, q), (r, s) = (map(math.radians, place) for place in (a, b))
     chord = math.sin((r - p) / 2) ** 2 + math.cos(p) * math.cos(r) * math.sin((s - q) / 2) ** 2
