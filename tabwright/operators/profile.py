@@ -42,8 +42,12 @@ from tabwright.sources.staging import stage
 # --- any type --------------------------------------------------------------------------
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Missing count and share of every column."""
-    rows = per_column(df, {f.name: is_missing(f) for f in df.schema}, {"n_missing": tally(F.col("x"))})
+    """Missing count and share of every column, from one counter each, whose single row is turned at last."""
+    if not df.columns:
+        raise ValueError("no column to aggregate")
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[tally(is_missing(f)).alias(f"_{i}") for i, f in enumerate(df.schema)])
+    rows = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.col("_rows").alias("n_total"), F.col(f"_{i}").alias("n_missing")) for i, f in enumerate(df.schema)])))
     return rows.withColumn("missing_pct", percent(F.col("n_missing"), F.col("n_total")))
 
 

@@ -34,6 +34,12 @@ def test_profiles_read_once_and_send_a_row_per_column(lineitem):
         assert found.count("hashpartitioning(column") <= scans and "partial_" in found or "WindowGroupLimit" in found
 
 
+def test_missing_values_are_counted_without_a_row_per_cell(lineitem):
+    found = profile.null_profile(lineitem.select("*", *[(F.col("l_tax") * i).alias(f"x{i}") for i in range(60)]))
+    assert "Expand" not in plan(found) and "partial_count" in plan(found)
+    assert [r["n_total"] for r in profile.null_profile(lineitem.limit(0)).collect()] == [0] * len(lineitem.columns)
+
+
 def test_outliers_are_summed_without_a_sort(lineitem):
     found = outliers.segment_outliers(lineitem, "l_extendedprice", ["l_returnflag"])
     assert "rangepartitioning" not in plan(outliers.summarize_outliers(found, "l_extendedprice", ["l_returnflag"])).split("HashAggregate")[-1]
