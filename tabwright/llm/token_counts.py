@@ -39,7 +39,7 @@ from tabwright.llm.common import text_blocks, utf8
 # The pattern that splits text before the merges, for texts of ASCII and for others.
 ASCII = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 WIDE = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-BLANK = regex.compile(r"\p{White_Space}+")
+BLANKS, ASCII_BLANKS = regex.compile(r"\p{White_Space}{2,}"), re.compile(r"\s{2,}", re.ASCII)
 SHORTENED = ("'ll", "'ve", "'re")
 
 #: Pieces up to this length are remembered, at most this many of them, and at most this many pairs of tokens.
@@ -162,9 +162,12 @@ class Prefixes:
         found = self.tables.get(piece)
         if found is None:
             raw = piece.encode()
-            steps = np.array(self.steps(raw), np.int32)[1:]
-            data = np.frombuffer(raw, np.uint8)
-            found = steps[np.append((data[1:] & 0xC0) != 0x80, True)]
+            found = np.array(self.steps(raw)[1:], np.int32)
+            if len(raw) > len(piece):
+                data = np.frombuffer(raw, np.uint8)
+                found = found[np.append((data[1:] & 0xC0) != 0x80, True)]
+            if piece in SHORTENED:  # until its last letter is there, these are two pieces
+                found = np.array([1, 2, found[-1]], np.int32)
             if len(piece) <= SHORT:
                 if len(self.tables) >= PIECES:
                     self.tables.clear()
@@ -210,23 +213,23 @@ class Prefixes:
         return np.concatenate(out)
 
     def _plain(self, text: str) -> np.ndarray:
-        out, base, at, end = [np.zeros(0, np.int32)], 0, 0, 0
-        blanks = {m.start(): m.end() for m in BLANK.finditer(text)}
+        known, tables = self.tables.get, []
         for piece in self.pieces(text):
-            if at in blanks and end <= at:
-                # A prefix that ends in blanks has them as one piece, wherever the whole text parts them.
-                end = blanks[at]
-                out.append(base + self.table(text[at:end]))
-            if at + len(piece) > end:
-                # The first character may be the last of the blanks, which is done.
-                found = base + self.table(piece)
-                if piece in SHORTENED:
-                    found = np.array([base + 1, base + 2, found[-1]], np.int32)
-                out.append(found[max(0, end - at):])
-                end = max(end, at + len(piece))
-            base += self.totals[piece]
-            at += len(piece)
-        return np.concatenate(out).astype(np.int32)
+            found = known(piece)
+            tables.append(self.table(piece) if found is None else found)
+        if not tables:
+            return np.zeros(0, np.int32)
+        # Each piece counts on from the last prefix of the one before it.
+        sizes = np.fromiter(map(len, tables), np.int64, len(tables))
+        out = np.concatenate(tables)
+        bases = np.zeros(len(tables), np.int32)
+        np.cumsum(out[np.cumsum(sizes)[:-1] - 1], out=bases[1:])
+        out += np.repeat(bases, sizes)
+        for run in (ASCII_BLANKS if text.isascii() else BLANKS).finditer(text):
+            # A prefix that ends in blanks has them as one piece, wherever the whole text parts them.
+            at, end = run.span()
+            out[at:end] = self.table(text[at:end]) + (out[at - 1] if at else 0)
+        return out
 
 
 @cache
@@ -252,7 +255,9 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", vocab
                 columns = [batch.column("key").slice(first, last - first), pa.array(np.diff(bounds[first : last + 1]))]
                 if keep_counts:
                     all_counts = [known.counts(t) for t in texts]
-                    columns += [pa.array([int(c[-1]) if len(c) else 0 for c in all_counts], pa.int64()), pa.array(all_counts, pa.list_(pa.int32()))]
+                    ends = np.cumsum([0, *map(len, all_counts)], dtype=np.int64)
+                    columns.append(pa.array([int(c[-1]) if len(c) else 0 for c in all_counts], pa.int64()))
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(all_counts))))
                 else:
                     columns.append(pa.array([known.count(t) for t in texts], pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -83,5 +83,21 @@ def test_query(spark):
         assert found[r["doc_id"]] == (len((r["text"] or "").encode()), n, n > 1024)
 
 
+def test_query_takes_the_counts_of_all_prefixes(spark, monkeypatch):
+    """Tokens come from the last of the counted prefixes, of each text."""
+    asked, counts = [], token_counts.token_counts
+
+    def seen(docs, **options):
+        found = counts(docs, **options)
+        asked.append(found.columns)
+        return found.withColumn("counts", F.transform("counts", lambda c: c + 5))
+
+    monkeypatch.setattr(token_counts, "token_counts", seen)
+    found = {r["doc_id"]: r["n_tokens"] for r in queries.op12_token_counts(spark, "/root/testdata/sf0.001").collect()}
+    assert asked == [["doc_id", "n_bytes", "n_tokens", "counts"]]
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20).collect()}
+    assert all(found[i] == (expected(t) + 5 if t else 0) for i, t in texts.items())
+
+
 def test_empty_table(spark):
     assert token_counts.token_counts(spark.createDataFrame([], "doc_id string, text string")).count() == 0
