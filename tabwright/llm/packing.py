@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import placed, stage
+from tabwright.llm.common import BLOCK, placed, slices, stage
 
 # Fixed value: the pattern that splits text before the merges, in its form without backtracking.
 PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
@@ -135,12 +135,14 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seen = encoder(path, added), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        # Ids take many times the bytes of a text as Python's numbers: few texts at a time, and what is kept as an array.
+        for batch in slices(batches, "text", BLOCK):
             row, number, start, length, crc, nth, kept = [], [], [], [], [], [], []
             for i, body in enumerate(batch.column("text")):
                 ids = encode(body.as_py() or "")
                 ids.append(END)
-                raw = np.array(ids, "<u4").tobytes()
+                ids = np.array(ids, "<i4")
+                raw = ids.tobytes()
                 for k, (at, n) in enumerate(cut(len(ids), capacity)):
                     row.append(i)
                     number.append(k)
@@ -153,7 +155,9 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
                         kept.append(ids[at : at + n])
             columns = [batch.column("key").take(pa.array(row, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                        pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(row), part, np.int32)), pa.array(nth, pa.int64())]
-            columns += [pa.array(kept, pa.list_(pa.int32()))] if keep_ids else []
+            if keep_ids:
+                ends = np.cumsum([0, *length], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept)) if kept else pa.array([], pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return narrow.mapInArrow(split, schema)

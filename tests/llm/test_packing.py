@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -114,3 +115,16 @@ def test_pack(spark, reference):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_pieces_come_in_small_batches(spark, monkeypatch):
+    """Texts are encoded a block at a time, with the same pieces and ids as all at once."""
+    rows = [(i, f"some words {i} " * 400) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    whole = [tuple(r) for r in packing.pieces(docs, keep_ids=True, capacity=100).collect()]
+    monkeypatch.setattr(packing, "BLOCK", 20_000)
+    small = [tuple(r) for r in packing.pieces(docs, keep_ids=True, capacity=100).collect()]
+    assert small == whole and all(r[3] == len(r[-1]) for r in small)
+    batch = pa.record_batch([pa.array([t for _, t in rows])], names=["text"])
+    sizes = [part.num_rows for part in packing.slices(iter([batch]), "text", packing.BLOCK)]
+    assert len(sizes) > 5 and sum(sizes) == 30
