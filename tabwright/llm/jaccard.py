@@ -24,8 +24,11 @@ alone; any order gives the same links.
 Lists may be long, and their pairs are not written out. In a round, each list's members are compared
 with one hub; what links becomes one component, and a list whose members are in one component
 is done. The hub is the member with the fewest rarer shingles, hence with the fewest of its own. Two members
-are a pair only if what follows the shared shingle in their order can still be enough. After the last round, only pairs that are still in different
-components are compared. Every pair is verified on its whole sets.
+are a pair only if what follows the shared shingle in their order can still be enough. A list that is still open then and holds more than ``SHORT``
+members is split: all its members are compared with one hub, and enter new lists by the shingles in which they differ from it, the ones that are rarest among
+those who met that hub first. Sets that link, but not both with the hub, have such a shingle in common; near copies of one text differ in few places, so
+that they meet only where they were changed alike. New lists that are long are split again. In short lists, pairs that are still in different
+components are compared, at most half of ``SHORT`` for each member. Every pair is verified on its whole sets.
 
 Words are runs of bytes other than the ASCII blanks, with A-Z lowered. Shingles and sets are held as
 64-bit hashes; a text, however long, may have up to 2^28 different shingles. Nulls: a null text has an empty set, like a text without words: size 0, linked with
@@ -62,8 +65,10 @@ SHARE = 0.5
 HELD = 1 << 20
 #: Smallest hashes from which the number of different shingles is estimated.
 SMALLEST = 256
-#: Rounds in which lists are compared with a hub, before what is left is compared in pairs.
+#: Rounds in which lists are compared with a hub, before what is left of them is split or compared in pairs.
 HUB_ROUNDS = 3
+#: Rounds in which lists of more than so many members are split by what their members differ in from a hub.
+SPLIT_ROUNDS, SHORT = 4, 32
 #: Sets that a task remembers in order to enter copies once.
 SEEN = 100_000
 #: Sets above this size are heavy at any cost.
@@ -397,16 +402,48 @@ def _in_order(*then: str) -> Column:
 
 
 def _fits(one: str, two: str, num: int, den: int) -> Column:
-    """Whether two sets can link by a shingle they share, if they share none that comes before it.
+    """Whether two sets can link by a number they share in a list, if they share none that comes before it.
 
-    All they have in common then lies from its place on, in either set, and has to be enough.
+    They differ in all that comes before its place, in either set, and may differ in (den - num) of (num + den) of both sizes.
     """
     def enough(a: str, b: str) -> Column:
-        return (num + den) * (F.col(f"{a}n") - F.col(f"{a}place")) >= num * (F.col(f"{a}n") + F.col(f"{b}n"))
+        return (num + den) * (F.col(f"{b}d") - F.col(f"{a}d") + 2 * F.col(f"{a}place")) <= (den - num) * (F.col(f"{a}n") + F.col(f"{b}n"))
 
     return enough(one, two) & enough(two, one)
 
 
+def _open(placed: DataFrame, num: int, den: int) -> DataFrame:
+    """Members of lists of more than one component, without those that fit with no other size and place of their list."""
+    n, d, place = (F.col(c) for c in ("n", "d", "place"))
+    spare, reach = (den - num) * n - (num + den) * d, (den - num) * n + (num + den) * (d - 2 * place)
+    lists = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max(spare).alias("spare"), F.max(reach).alias("reach"))
+    able = placed.join(lists.where("low < high"), "token").where((F.col("spare") + reach >= 0) & (F.col("reach") + spare >= 0))
+    return able.select(*placed.columns)
+
+
+def _pairs(placed: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (node, h) of members of a list that are in different components."""
+    one, two = placed.alias("one"), placed.alias("two")
+    pairs = one.join(two, F.col("one.token") == F.col("two.token")).where("one.node < two.node AND one.c <> two.c")
+    return pairs.where(_fits("one.", "two.", num, den)).select(F.col("one.node").alias("node"), F.col("two.node").alias("h"))
+
+
+def _split(met: DataFrame) -> DataFrame:
+    """Lists of what the sets that met a hub (h, node, n, d, other, c) differ in from it, the rarest among them first.
+
+    Two of them differ in what only one of them differs in from the hub. If nothing is in both differences and they link, both link with the hub.
+    """
+    groups = met.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    met = met.join(groups.select("h"), "h", "left_semi")
+    each = met.select("h", "node", F.explode("other").alias("token")).withColumn("token", F.xxhash64("h", "token"))
+    counts = each.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    order = F.sort_array(F.collect_list(F.struct("held", "token")))
+    of_node = each.join(counts, "token").groupBy("h", "node").agg(order.alias("shared"))
+    places = of_node.join(met.select("h", "node", "n", "d", "c"), ["h", "node"])
+    entered = places.select("node", "n", "d", "c", (F.col("d") - F.size("shared")).alias("alone"), F.posexplode("shared").alias("at", "one"))
+    return entered.select(F.col("one.token").alias("token"), "node", "n", "d", (F.col("alone") + F.col("at")).alias("place"), "c")
+
+
 def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect all nodes which the threshold connects."""
     ends = [F.min("node").alias("low"), F.max("node").alias("high")]
@@ -429,36 +466,49 @@ def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, n
         common = F.size(F.array_intersect("x", "y"))
         return both.select("a", "b", ((num + den) * common >= num * (F.size("x") + F.size("y"))).alias("linked"))
 
-    placed, tried, last = members.withColumn("c", F.col("node")), None, False
-    for turn in range(HUB_ROUNDS + 1):
-        last = last or turn == HUB_ROUNDS
-        alive = placed.groupBy("token").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("place", "node", "n", "c")).alias("hub")).where("low < high")
-        if not last:
-            hubs = alive.select("token", F.col("hub.node").alias("h"), F.col("hub.n").alias("hub_n"), F.col("hub.place").alias("hub_place"), F.col("hub.c").alias("hc"))
-            pairs = placed.join(hubs, "token").where((F.col("c") != F.col("hc")) & _fits("", "hub_", num, den)).select("node", "h")
-        else:
-            open_ = placed.join(alive.select("token"), "token")
-            one, two = open_.alias("one"), open_.alias("two")
-            pairs = one.join(two, F.col("one.token") == F.col("two.token")).where("one.node < two.node AND one.c <> two.c")
-            pairs = pairs.where(_fits("one.", "two.", num, den)).select(F.col("one.node").alias("node"), F.col("two.node").alias("h"))
+    def fresh(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = stage(verified(pairs))
+        return pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+
+    def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        return rows.join(roots, "node", "left").withColumn("c", F.coalesce("root", "node")).drop("root")
+
+    columns = ("token", "node", "n", "d", "place")
+    # A member's place counts among the d numbers of it that a list is about: at first, these are all its shingles.
+    whole_sizes = members.withColumns({"n": F.col("n").cast("long"), "d": F.col("n").cast("long"), "place": F.col("place").cast("long")})
+    placed, tried = whole_sizes.select(*columns, F.col("node").alias("c")), None
+    for _ in range(HUB_ROUNDS):
+        alive = placed.groupBy("token").agg(
+            F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("place", "node", "n", "d", "c")).alias("hub")).where("low < high")
+        hubs = alive.select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "n", "d", "place", "c")])
+        pairs = placed.join(hubs, "token").where((F.col("c") != F.col("hub_c")) & _fits("", "hub_", num, den))
+        checked = stage(verified(fresh(pairs.select("node", F.col("hub_node").alias("h")))))
         tried = checked if tried is None else tried.unionByName(checked)
-        if last:
-            break
         # A hub has met all members of its list; what is left of the list goes on with their components.
-        used = alive.select("token", F.col("hub.node").alias("node"))
-        rest = placed.join(used, ["token", "node"], "left_anti").join(alive.select("token"), "token", "left_semi")
+        rest = placed.join(hubs.select("token", F.col("hub_node").alias("node")), ["token", "node"], "left_anti").join(alive.select("token"), "token", "left_semi")
         if checked.where("linked").isEmpty():
-            last = True  # hubs link nothing any more: what is left is compared in pairs
-        else:
-            roots = connected(tried.where("linked").select("a", "b")).withColumnRenamed("root", "c")
-            rest = rest.drop("c").join(roots, "node", "left").withColumn("c", F.coalesce("c", "node"))
-        placed = stage(rest.select("token", "node", "n", "place", "c"))
-    return tried.where("linked").select("a", "b")
+            placed = stage(rest)
+            break  # hubs link nothing any more
+        placed = stage(with_roots(rest.drop("c"), connected(tried.where("linked").select("a", "b"))).select(*columns, "c"))
+
+    for _ in range(SPLIT_ROUNDS):
+        placed = stage(_open(placed, num, den))
+        hubs = placed.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("place", "node")).alias("hub"))
+        hubs = stage(hubs.where(F.col("members") > SHORT).select("token", F.col("hub.node").alias("h")))
+        if hubs.isEmpty():
+            break
+        met = placed.join(hubs, "token").where("node <> h").select("h", "node").distinct()
+        left = whole.select(F.col("node").alias("h"), F.col("shingles").alias("x"))
+        both = met.join(left, "h").join(whole.withColumnRenamed("shingles", "y"), "node")
+        both = both.withColumn("other", F.concat(F.array_except("x", "y"), F.array_except("y", "x")))
+        both = both.select("h", "node", F.size("y").cast("long").alias("n"), F.size("other").cast("long").alias("d"), F.size("x").alias("hub_n"), "other")
+        met = stage(both.withColumn("linked", (num + den) * F.col("d") <= (den - num) * (F.col("n") + F.col("hub_n"))).drop("hub_n"))
+        tried = tried.unionByName(met.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"), "linked"))
+        roots = connected(tried.where("linked").select("a", "b"))
+        short = placed.drop("c").join(hubs.select("token"), "token", "left_anti")
+        placed = with_roots(short, roots).select(*columns, "c").unionByName(_split(with_roots(met, roots)).select(*columns, "c"))
+    checked = stage(verified(fresh(_pairs(_open(placed, num, den), num, den))))
+    return tried.unionByName(checked).where("linked").select("a", "b")
 
 
 def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int) -> DataFrame:

@@ -88,6 +88,40 @@ def test_hot_shingles_and_long_lists(spark, monkeypatch, rows, held):
     assert sorted((tuple(r) for r in found), key=str) == plain_components(given, 3, 9, 10)
 
 
+@pytest.mark.parametrize("words,num,den,rounds", [(3, 9, 10, 0), (5, 8, 10, 3)])
+def test_splits_lists(spark, monkeypatch, words, num, den, rounds):
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds or 1)
+    rows = corpus(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = jaccard.components(docs, words=words, threshold=(num, den)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, words, num, den)
+
+
+def test_near_copies_do_not_meet_in_pairs(spark, monkeypatch):
+    draw, rows = random.Random(5), []
+    body = [f"w{i}" for i in range(150)]
+    for i in range(400):
+        copy = list(body)
+        for at in draw.sample(range(150), draw.choice([1, 2, 2, 3])):
+            copy[at] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    made, pairs = [], jaccard._pairs
+
+    def seen(placed, num, den):
+        made.append((placed.count(), pairs(placed, num, den).count()))
+        return pairs(placed, num, den)
+
+    monkeypatch.setattr(jaccard, "_pairs", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.components(docs, words=3, threshold=(9, 10)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(tuple(r) for r in found) == sorted(plain_components(rows, 3, 9, 10))
+    monkeypatch.setattr(jaccard, "SPLIT_ROUNDS", 0)
+    jaccard.components(docs, words=3, threshold=(9, 10)).count()
+    (members, split), (_, whole) = made
+    assert split <= jaccard.SHORT * members // 2 and split * 10 < whole
+
+
 @given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=60), st.integers(1, 7), st.integers(2, 9))
 def test_tokens_of_more_than_one_node(rows, size, held):
     rows = sorted(rows)
