@@ -27,8 +27,9 @@ is done. The hub is the member with the fewest rarer shingles, hence with the fe
 are a pair only if what follows the shared shingle in their order can still be enough. A list that is still open then and holds more than ``SHORT``
 members is split: all its members are compared with one hub, and enter new lists by the shingles in which they differ from it, the ones that are rarest among
 those who met that hub first. Sets that link, but not both with the hub, have such a shingle in common; near copies of one text differ in few places, so
-that they meet only where they were changed alike. New lists that are long are split again. In short lists, pairs that are still in different
-components are compared, at most half of ``SHORT`` for each member. Every pair is verified on its whole sets.
+that they meet only where they were changed alike. New lists that are long are split again, ``SPLIT_ROUNDS`` times at most. Then pairs that are still in
+different components are compared: in a list of up to ``SHORT`` members at most half of that for each, in one that is still longer all of them. Every pair is
+verified on its whole sets.
 
 Words are runs of bytes other than the ASCII blanks, with A-Z lowered. Shingles and sets are held as
 64-bit hashes; a text, however long, may have up to 2^28 different shingles. Nulls: a null text has an empty set, like a text without words: size 0, linked with
