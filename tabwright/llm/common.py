@@ -12,11 +12,23 @@ from pyspark.sql import functions as F
 
 from tabwright.sources.staging import stage
 
-__all__ = ["BLOCK", "documents_of", "held_out", "mix64", "placed", "slices", "stage", "text_blocks", "unused", "utf8"]
+__all__ = ["BLOCK", "PART_ROWS", "documents_of", "held_out", "in_one", "mix64", "placed", "slices", "stage", "text_blocks", "unused", "utf8"]
 
 #: Bytes of text that numpy works on at a time: temporaries then stay in the cache.
 BLOCK = 1 << 20
 
+#: Narrow rows that one task works on.
+PART_ROWS = 1 << 20
+
+
+def in_one(df: DataFrame, rows: int, each: float = 1, most: int = PART_ROWS) -> DataFrame:
+    """The frame in one partition if ``rows`` of ``each`` units are ``most`` units at most, else as it is.
+
+    What fits one task needs no shuffle in joins and groupings; more rows are shuffled as usual. An inner join has to be
+    put in one again, since Spark no longer knows that of its result.
+    """
+    return df.coalesce(1) if rows * each <= most else df
+
 
 def held_out(key: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the key's text leaves this remainder; a null key counts as empty text."""

@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import documents_of, mix64, slices, stage, text_blocks, unused, utf8
+from tabwright.llm.common import documents_of, in_one, mix64, slices, stage, text_blocks, unused, utf8
 from tabwright.llm.components import connected
 
 #: Counters that find hot shingles, as a power of two, and per row of them.
@@ -76,6 +76,8 @@ SEEN = 100_000
 LIGHT_LIMIT = 40
 #: Bytes of text that are hashed at a time, and shingles that are counted at a time.
 BLOCK, COUNTED = 1 << 18, 1 << 20
+#: Shingles of whole sets that a task holds.
+PART_SHINGLES = 1 << 23
 #: Up to so many rows of two numbers, the ids whose texts are wanted are sent to all tasks; more are joined by a shuffle.
 SENT_ROWS = 250_000
 
@@ -429,43 +431,60 @@ def _pairs(placed: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.where(_fits("one.", "two.", num, den)).select(F.col("one.node").alias("node"), F.col("two.node").alias("h"))
 
 
-def _split(met: DataFrame) -> DataFrame:
-    """Lists of what the sets that met a hub (h, node, n, d, other, c) differ in from it, the rarest among them first.
+def _split(met: DataFrame, differing: int) -> DataFrame:
+    """Lists of what the sets that met a hub (h, node, n, d, other, c) differ in from it, ``differing`` in all, the rarest among them first.
 
     Two of them differ in what only one of them differs in from the hub. If nothing is in both differences and they link, both link with the hub.
     """
-    groups = met.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    met = met.join(groups.select("h"), "h", "left_semi")
+    groups = in_one(met, differing).groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    met = in_one(met, differing).join(groups.select("h"), "h", "left_semi")
     each = met.select("h", "node", F.explode("other").alias("token")).withColumn("token", F.xxhash64("h", "token"))
     counts = each.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
     order = F.sort_array(F.collect_list(F.struct("held", "token")))
-    of_node = each.join(counts, "token").groupBy("h", "node").agg(order.alias("shared"))
+    of_node = in_one(each.join(counts, "token"), differing).groupBy("h", "node").agg(order.alias("shared"))
     places = of_node.join(met.select("h", "node", "n", "d", "c"), ["h", "node"])
     entered = places.select("node", "n", "d", "c", (F.col("d") - F.size("shared")).alias("alone"), F.posexplode("shared").alias("at", "one"))
-    return entered.select(F.col("one.token").alias("token"), "node", "n", "d", (F.col("alone") + F.col("at")).alias("place"), "c")
+    return entered.select(F.col("one.token").alias("token"), "node", "n", "d", (F.col("alone") + F.col("at")).alias("place"), "alone", "c")
 
 
 def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect all nodes which the threshold connects."""
     ends = [F.min("node").alias("low"), F.max("node").alias("high")]
     entered = listed.select("node", "n", "alone", F.posexplode("shingles").alias("place", "token"))
-    members = entered.select("token", "node", "n", (F.col("place") + F.col("alone")).alias("place"))
-    members = members.unionByName(listed.select(F.explode("subsets").alias("token"), "node", "n", F.lit(0).alias("place")))
+    members = entered.select("token", "node", "n", (F.col("place") + F.col("alone")).alias("place"), "alone")
+    members = members.unionByName(listed.select(F.explode("subsets").alias("token"), "node", "n", F.lit(0).alias("place"), F.lit(0).alias("alone")))
     # Within a list, only sets of like size can link: it is split in zones, each of two neighbouring bands of sizes.
     band = F.floor(F.log("n") / (math.log(den / num) * (1 + 1e-9)))
     members = members.withColumn("zone", F.explode(F.array(band, band + 1)))
-    members = stage(members.select(F.xxhash64("token", "zone").alias("token"), "node", "n", "place"))
+    members = stage(members.select(F.xxhash64("token", "zone").alias("token"), "node", "n", "place", "alone"))
+    members = in_one(members, members.count())
     members = members.join(members.groupBy("token").agg(*ends).where("low < high").select("token"), "token", "left_semi")
     members = stage(members)
+    rows = members.count()
+    members = in_one(members, rows)
 
     whole = _sets_of(members.select("node").distinct(), nodes, narrow, words)
+    size = whole.agg(F.count("*").alias("sets"), F.sum(F.size("shingles")).alias("shingles")).first()
+    mean = (size["shingles"] or 0) / max(1, size["sets"])
+    whole = in_one(whole, size["sets"], mean, PART_SHINGLES)
+
+    def sized(df: DataFrame, rows: int) -> DataFrame:
+        return in_one(df, rows, 2 * mean, PART_SHINGLES)
+
+    def one_file(df: DataFrame, rows: int) -> DataFrame:
+        """The frame, staged: joined in many tasks, it is gathered if one task holds its rows with two sets each."""
+        return stage(df.repartition(1) if rows * 2 * mean <= PART_SHINGLES else df)
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs and whether they link, in one file if they fit one task."""
+        pairs = stage(pairs)
+        rows = pairs.count()
         left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(left, "a").join(right, "b")
+        both = sized(pairs, rows).join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.select("a", "b", ((num + den) * common >= num * (F.size("x") + F.size("y"))).alias("linked"))
+        checked = both.select("a", "b", ((num + den) * common >= num * (F.size("x") + F.size("y"))).alias("linked"))
+        return in_one(one_file(checked, rows), rows)
 
     def fresh(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
@@ -474,42 +493,56 @@ def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, n
     def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
         return rows.join(roots, "node", "left").withColumn("c", F.coalesce("root", "node")).drop("root")
 
-    columns = ("token", "node", "n", "d", "place")
+    def added(one: DataFrame, two: DataFrame) -> DataFrame:
+        both = one.unionByName(two)
+        return in_one(both, both.count())
+
+    columns = ("token", "node", "n", "d", "place", "alone")
     # A member's place counts among the d numbers of it that a list is about: at first, these are all its shingles.
-    whole_sizes = members.withColumns({"n": F.col("n").cast("long"), "d": F.col("n").cast("long"), "place": F.col("place").cast("long")})
+    whole_sizes = members.withColumns({"d": F.col("n").cast("long"), **{c: F.col(c).cast("long") for c in ("n", "place", "alone")}})
     placed, tried = whole_sizes.select(*columns, F.col("node").alias("c")), None
     for _ in range(HUB_ROUNDS):
         alive = placed.groupBy("token").agg(
             F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("place", "node", "n", "d", "c")).alias("hub")).where("low < high")
         hubs = alive.select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "n", "d", "place", "c")])
         pairs = placed.join(hubs, "token").where((F.col("c") != F.col("hub_c")) & _fits("", "hub_", num, den))
-        checked = stage(verified(fresh(pairs.select("node", F.col("hub_node").alias("h")))))
-        tried = checked if tried is None else tried.unionByName(checked)
+        checked = verified(fresh(in_one(pairs.select("node", F.col("hub_node").alias("h")), rows)))
+        tried = checked if tried is None else added(tried, checked)
         # A hub has met all members of its list; what is left of the list goes on with their components.
         rest = placed.join(hubs.select("token", F.col("hub_node").alias("node")), ["token", "node"], "left_anti").join(alive.select("token"), "token", "left_semi")
         if checked.where("linked").isEmpty():
-            placed = stage(rest)
+            placed = in_one(stage(rest), rows)
             break  # hubs link nothing any more
-        placed = stage(with_roots(rest.drop("c"), connected(tried.where("linked").select("a", "b"))).select(*columns, "c"))
+        placed = in_one(stage(with_roots(rest.drop("c"), connected(tried.where("linked").select("a", "b"))).select(*columns, "c")), rows)
 
     for _ in range(SPLIT_ROUNDS):
         placed = stage(_open(placed, num, den))
-        hubs = placed.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("place", "node")).alias("hub"))
-        hubs = stage(hubs.where(F.col("members") > SHORT).select("token", F.col("hub.node").alias("h")))
+        rows = placed.count()
+        placed = in_one(placed, rows)
+        # The hub is chosen by what does not depend on the list: lists of the same sets share theirs, and are split once.
+        hubs = placed.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("alone", "node")).alias("hub"))
+        hubs = in_one(stage(hubs.where(F.col("members") > SHORT).select("token", F.col("hub.node").alias("h"))), rows)
         if hubs.isEmpty():
             break
-        met = placed.join(hubs, "token").where("node <> h").select("h", "node").distinct()
+        met = stage(placed.join(hubs, "token").where("node <> h").select("h", "node").distinct())
+        meetings = met.count()
         left = whole.select(F.col("node").alias("h"), F.col("shingles").alias("x"))
-        both = met.join(left, "h").join(whole.withColumnRenamed("shingles", "y"), "node")
+        both = sized(met, meetings).join(left, "h").join(whole.withColumnRenamed("shingles", "y"), "node")
         both = both.withColumn("other", F.concat(F.array_except("x", "y"), F.array_except("y", "x")))
         both = both.select("h", "node", F.size("y").cast("long").alias("n"), F.size("other").cast("long").alias("d"), F.size("x").alias("hub_n"), "other")
-        met = stage(both.withColumn("linked", (num + den) * F.col("d") <= (den - num) * (F.col("n") + F.col("hub_n"))).drop("hub_n"))
-        tried = tried.unionByName(met.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"), "linked"))
+        both = both.withColumn("linked", (num + den) * F.col("d") <= (den - num) * (F.col("n") + F.col("hub_n"))).drop("hub_n")
+        met = one_file(both, meetings)
+        differing = met.agg(F.sum("d").alias("d")).first()["d"] or 0
+        met = in_one(met, differing)
+        tried = added(tried, met.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"), "linked"))
         roots = connected(tried.where("linked").select("a", "b"))
         short = placed.drop("c").join(hubs.select("token"), "token", "left_anti")
-        placed = with_roots(short, roots).select(*columns, "c").unionByName(_split(with_roots(met, roots)).select(*columns, "c"))
-    checked = stage(verified(fresh(_pairs(_open(placed, num, den), num, den))))
-    return tried.unionByName(checked).where("linked").select("a", "b")
+        parts = _split(stage(with_roots(met, roots)), differing).select(*columns, "c")
+        placed = stage(with_roots(short, roots).select(*columns, "c").unionByName(parts))
+        placed = in_one(placed, placed.count())
+    # Lists that are still long are dealt out, however few rows there are.
+    checked = verified(fresh(_pairs(stage(_open(placed, num, den)), num, den)))
+    return added(tried, checked).where("linked").select("a", "b")
 
 
 def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int) -> DataFrame:

@@ -122,6 +122,54 @@ def test_near_copies_do_not_meet_in_pairs(spark, monkeypatch):
     assert split <= jaccard.SHORT * members // 2 and split * 10 < whole
 
 
+def test_small_rounds_take_few_tasks(spark, monkeypatch):
+    rows = corpus(6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    parts, connect = [], jaccard.connected
+
+    def seen(edges):
+        found = connect(edges)
+        parts.extend([edges.rdd.getNumPartitions(), found.rdd.getNumPartitions()])
+        return found
+
+    monkeypatch.setattr(jaccard, "connected", seen)
+    found = jaccard.components(docs, words=3, threshold=(9, 10)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, 3, 9, 10)
+    assert parts and max(parts) == 1
+
+
+@pytest.mark.parametrize("most", [0, 40])
+def test_larger_rounds_are_shuffled(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", most)
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "in_one", lambda df, rows, each=1, limit=most: df.coalesce(1) if rows * each <= limit else df)
+    rows = corpus(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = jaccard.components(docs, words=5, threshold=(8, 10)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, 5, 8, 10)
+
+
+def test_lists_of_the_same_sets_share_a_hub(spark, monkeypatch):
+    draw, rows = random.Random(8), []
+    body = [f"w{i}" for i in range(150)]
+    for i in range(200):
+        copy = list(body)
+        for at in draw.sample(range(150), draw.choice([2, 3, 4, 5])):
+            copy[at] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    met, split = [], jaccard._split
+
+    def seen(frame, differing):
+        met.append((frame.count(), frame.select("h").distinct().count()))
+        return split(frame, differing)
+
+    monkeypatch.setattr(jaccard, "_split", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.components(docs, words=5, threshold=(8, 10)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(tuple(r) for r in found) == sorted(plain_components(rows, 5, 8, 10))
+    assert all(m <= 2 * len(rows) for m, _ in met), met
+
+
 @given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=60), st.integers(1, 7), st.integers(2, 9))
 def test_tokens_of_more_than_one_node(rows, size, held):
     rows = sorted(rows)
