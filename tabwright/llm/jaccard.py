@@ -519,7 +519,7 @@ def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, n
         placed = stage(_open(placed, num, den))
         rows = placed.count()
         placed = in_one(placed, rows)
-        # The hub is chosen by what does not depend on the list: lists of the same sets share theirs, and are split once.
+        # The hub is chosen by what is the same in all lists of a round, so that lists of the same sets mostly share theirs.
         hubs = placed.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("alone", "node")).alias("hub"))
         hubs = in_one(stage(hubs.where(F.col("members") > SHORT).select("token", F.col("hub.node").alias("h"))), rows)
         if hubs.isEmpty():

@@ -149,7 +149,7 @@ def test_larger_rounds_are_shuffled(spark, monkeypatch):
     assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, 5, 8, 10)
 
 
-def test_lists_of_the_same_sets_share_a_hub(spark, monkeypatch):
+def test_lists_of_like_sets_share_hubs(spark, monkeypatch):
     draw, rows = random.Random(8), []
     body = [f"w{i}" for i in range(150)]
     for i in range(120):
@@ -167,7 +167,7 @@ def test_lists_of_the_same_sets_share_a_hub(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = jaccard.components(docs, words=5, threshold=(8, 10)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(tuple(r) for r in found) == sorted(plain_components(rows, 5, 8, 10))
-    assert all(m <= 2 * len(rows) for m, _ in met), met
+    assert met and all(m <= 300 and hubs <= 3 for m, hubs in met), met
 
 
 @given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=60), st.integers(1, 7), st.integers(2, 9))
