@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import documents_of, in_one, mix64, slices, stage, text_blocks, unused, utf8
+from tabwright.llm.common import SENT_ROWS, documents_of, in_one, mix64, slices, stage, text_blocks, unsent, unused, utf8
 from tabwright.llm.components import connected
 
 #: Counters that find hot shingles, as a power of two, and per row of them.
@@ -78,9 +78,6 @@ LIGHT_LIMIT = 40
 BLOCK, COUNTED = 1 << 18, 1 << 20
 #: Shingles of whole sets that a task holds.
 PART_SHINGLES = 1 << 23
-#: Up to so many rows of two numbers, the ids whose texts are wanted are sent to all tasks; more are joined by a shuffle.
-SENT_ROWS = 250_000
-
 U = np.uint64
 
 
@@ -310,7 +307,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     rows, nodes, roots = _connected_nodes(docs, key, text, words, threshold)
     best = nodes.join(roots, nodes["node"] == roots["node"]).groupBy("root").agg(F.min("id").alias("smallest"))
     of_node = roots.join(best, "root").select("node", "smallest")
-    out = rows.join(of_node, "node", "left").join(nodes.select("node", F.col("id").alias("own")), "node", "left")
+    out = rows.join(of_node, "node", "left").join(unsent(nodes, nodes.count()).select("node", F.col("id").alias("own")), "node", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("smallest", "own"))
     return out.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "node")
 
@@ -466,7 +463,8 @@ def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, n
     whole = _sets_of(members.select("node").distinct(), nodes, narrow, words)
     size = whole.agg(F.count("*").alias("sets"), F.sum(F.size("shingles")).alias("shingles")).first()
     mean = (size["shingles"] or 0) / max(1, size["sets"])
-    whole = in_one(whole, size["sets"], mean, PART_SHINGLES)
+    # Pairs that are few are sent to the sets, however many these are; hashes take as much room in files as in memory.
+    whole = whole.coalesce(1) if size["sets"] * mean <= PART_SHINGLES else whole
 
     def sized(df: DataFrame, rows: int) -> DataFrame:
         return in_one(df, rows, 2 * mean, PART_SHINGLES)
@@ -541,7 +539,8 @@ def _links(listed: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int, n
         placed = stage(with_roots(short, roots).select(*columns, "c").unionByName(parts))
         placed = in_one(placed, placed.count())
     # Lists that are still long are dealt out, however few rows there are.
-    checked = verified(fresh(_pairs(stage(_open(placed, num, den)), num, den)))
+    placed = stage(_open(placed, num, den))
+    checked = verified(fresh(_pairs(unsent(placed, placed.count()), num, den)))
     return added(tried, checked).where("linked").select("a", "b")
 
 
@@ -549,7 +548,7 @@ def _sets_of(wanted: DataFrame, nodes: DataFrame, narrow: DataFrame, words: int)
     """The whole set of each wanted node, from the text of one of its documents."""
     ids = stage(nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("doc")))
     n = ids.count()
-    texts = narrow.join(F.broadcast(ids) if n <= SENT_ROWS else ids, narrow["id"].eqNullSafe(ids["doc"])).select("node", "text")
+    texts = narrow.join(F.broadcast(ids) if n <= SENT_ROWS else unsent(ids, n), narrow["id"].eqNullSafe(ids["doc"])).select("node", "text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()

@@ -9,8 +9,9 @@ import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tabwright.llm import jaccard
+from tabwright.llm import common, jaccard
 
 
 def plain_set(text: str | None, words: int) -> frozenset:
@@ -149,6 +150,25 @@ def test_larger_rounds_are_shuffled(spark, monkeypatch):
     assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, 5, 8, 10)
 
 
+def test_many_rows_are_not_sent_through_the_driver(spark, monkeypatch, tmp_path):
+    spark.range(4000).selectExpr("id AS node", "0L AS place").write.parquet(str(tmp_path / "placed"))
+    placed = spark.read.parquet(str(tmp_path / "placed"))
+
+    def plan(rows):
+        lists = common.in_one(placed, rows).join(placed.groupBy("node").agg(F.max("place").alias("high")), "node")
+        return lists._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(common.SENT_ROWS) and "BroadcastHashJoin" not in plan(common.SENT_ROWS + 1)
+    assert "BroadcastHashJoin" not in plan(common.PART_ROWS + 1)
+    # Links are the same where nothing is sent.
+    monkeypatch.setattr(common, "SENT_ROWS", 0)
+    monkeypatch.setattr(jaccard, "SENT_ROWS", 0)
+    rows = corpus(7)[-75:]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = jaccard.components(docs, words=5, threshold=(8, 10)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == plain_components(rows, 5, 8, 10)
+
+
 def test_lists_of_like_sets_share_hubs(spark, monkeypatch):
     draw, rows = random.Random(8), []
     body = [f"w{i}" for i in range(150)]
